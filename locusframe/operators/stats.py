@@ -18,7 +18,10 @@ def metric_histogram(df: DataFrame, value: str, n_bins: int = 20, by: list[str]
     min..max; the max falls in the last bin)."""
     by = by or []
     ext = df.groupBy(*by).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
-    j = df.join(broadcast_checked(ext), by) if by else df.join(ext, how="cross")
+    if by:
+        j = df.join(broadcast_checked(ext), by)
+    else:  # one extent row: broadcast it (proven size 1) on a constant key
+        j = df.withColumn("_k", F.lit(1)).join(F.broadcast(ext.withColumn("_k", F.lit(1))), "_k").drop("_k")
     b = j.select(*by, _bin(F.col(value), F.col("_mn"), F.col("_mx"), n_bins).alias("bin"))
     return b.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
 
