@@ -15,7 +15,7 @@ from locusframe.operators.regress import residualize
 from locusframe.operators.scores import polygenic_score
 from locusframe.plans import ancestry as PL
 
-AF_MIN = 0.05
+AF_MIN = 0.0075  # meaningful at every fixture scale (FIXTURES caveat 1)
 K = 10
 RF_DEPTH = 10
 
@@ -32,7 +32,7 @@ def _filtered_arrays(f):
 
 @register("ld_r2_pairs", "WITH " + SQL_VQC_FILLED + ",\np AS " + hwe_sql("vqcf", "vid, allele") + """,
 keep AS (SELECT v.vid FROM vqcf v JOIN p ON v.vid = p.vid AND v.allele = p.allele JOIN fx_site s ON v.vid = s.vid
-         WHERE s.alt NOT LIKE '%,%' AND v.AC / CAST(v.AN AS DOUBLE) > 0.05 AND p.p_hwe > 1e-6),
+         WHERE s.alt NOT LIKE '%,%' AND v.AC / CAST(v.AN AS DOUBLE) > 0.0075 AND p.p_hwe > 1e-6),
 dense AS (SELECT k.vid, m.sid, CAST(coalesce((CASE WHEN c.a1 > 0 THEN 1 ELSE 0 END) + (CASE WHEN c.a2 > 0 THEN 1 ELSE 0 END), 0) AS DOUBLE) AS d
           FROM keep k CROSS JOIN fx_sample m LEFT JOIN pcall c ON c.vid = k.vid AND c.sid = m.sid),
 arr AS (SELECT vid, list(d ORDER BY sid) AS x, CAST(count(*) AS DOUBLE) AS n, sum(d) AS sx, sum(d * d) AS sxx FROM dense GROUP BY vid),
@@ -54,25 +54,32 @@ def q_ld_prune(spark, sf_dir):
     return PL.prune(spark, arrs, f.fx_site, keep, 0.1)
 
 
+def _pca(f):
+    if "pca" not in f.extra:
+        samples = f.fx_sample.select("sid", "population")
+        f.extra["pca"] = PL.reference_pca(f.spark, parsed_calls(f), f.fx_site, samples, k=K, af_min=AF_MIN)
+    return f.extra["pca"]
+
+
 def _reference(f):
     if "reference" not in f.extra:
         samples = f.fx_sample.select("sid", "population")
         f.extra["reference"] = PL.build_reference(f.spark, parsed_calls(f), f.fx_site, samples, k=K,
-                                                  af_min=AF_MIN, max_depth=RF_DEPTH)
+                                                  af_min=AF_MIN, max_depth=RF_DEPTH, pca=_pca(f))
     return f.extra["reference"]
 
 
 @register("pca_hwe")
 def q_pca_hwe(spark, sf_dir):
-    ref = _reference(fx(spark, sf_dir))
-    return rounded(ref.scores.drop("population"))
+    scores, _, _ = _pca(fx(spark, sf_dir))
+    return rounded(scores.drop("population"))
 
 
 @register("pca_allele_weights")
 def q_pca_allele_weights(spark, sf_dir):
-    ref = _reference(fx(spark, sf_dir))
-    w = ref.loadings.select("variant_id", "af", F.array(*[F.col(f"PC{i}") for i in range(1, K + 1)]).alias("loadings"))
-    out = PCA.allele_weights(w, ref.eigenvalues, key="variant_id")
+    _, loadings, eig = _pca(fx(spark, sf_dir))
+    w = loadings.select("variant_id", "af", F.array(*[F.col(f"PC{i}") for i in range(1, K + 1)]).alias("loadings"))
+    out = PCA.allele_weights(w, eig, key="variant_id")
     return rounded(RF.pc_columns(out, "weights", K, prefix="W").drop("weights"))
 
 

@@ -1,9 +1,8 @@
 """HWE-normalised PCA of dosage arrays.
 
 The Gramian of the sample space (n x n, n = samples) is accumulated over the
-variant rows by Spark (``IndexedRowMatrix.computeSVD``: a tree aggregate of
-per-partition outer products), decomposed on the driver (n x n only), and
-the variant loadings U are produced distributed.  Suited to cohorts of up
+variant rows by Spark in one tree aggregate, decomposed on the driver
+(n x n only), and the variant loadings U are produced distributed.  Suited to cohorts of up
 to tens of thousands of samples; beyond that a randomised sketch is needed.
 """
 
@@ -13,9 +12,10 @@ import math
 
 import numpy as np
 from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locusframe.operators.ld import with_moments
 
@@ -39,25 +39,38 @@ def hwe_normalize(arrs: DataFrame, m: int | None = None, key: str = "vid") -> Da
 
 def pca_hwe(norm: DataFrame, k: int, key: str = "vid"):
     """Returns (eigenvalues list, scores rows [(sample_index, [k])],
-    loadings DataFrame (key, af, loadings ARRAY<DOUBLE>)).  Signs are fixed
-    so that the largest-magnitude sample coordinate of each component is
-    positive."""
+    loadings DataFrame (key, af, loadings ARRAY<DOUBLE>)).
+
+    One distributed pass accumulates the sample-space Gramian Z'Z (a tree
+    aggregate of per-partition products, n x n); its top-k eigenpairs give
+    V and s (scores = V s); a second pass computes the variant loadings
+    U = Z V / s in Arrow batches.  Signs are fixed so that the
+    largest-magnitude sample coordinate of each component is positive."""
     spark = norm.sparkSession
-    rows = norm.select("idx", "z").rdd.map(lambda r: IndexedRow(r[0], Vectors.dense(r[1])))
-    mat = IndexedRowMatrix(rows)
-    svd = mat.computeSVD(k, computeU=True)
-    s = np.array(svd.s.toArray())
-    V = np.array(svd.V.toArray())  # samples x k
+    rows = norm.select("z").rdd.map(lambda r: Vectors.dense(r[0]))
+    gram = np.array(RowMatrix(rows).computeGramianMatrix().toArray())
+    w, vecs = np.linalg.eigh(gram)
+    top = np.argsort(w)[::-1][:k]
+    w, V = np.clip(w[top], 0.0, None), vecs[:, top]
     signs = np.sign(V[np.abs(V).argmax(axis=0), range(V.shape[1])])
     signs[signs == 0] = 1
     V = V * signs
-    eig = (s ** 2).tolist()
+    s = np.sqrt(w)
+    eig = w.tolist()
     scores = [(i, (V[i] * s).tolist()) for i in range(V.shape[0])]
-    u = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
-    udf = spark.createDataFrame(u, "idx long, u array<double>")
-    sg = F.array(*[F.lit(float(x)) for x in signs])
-    loadings = (norm.select(key, "idx", "af").join(udf, "idx")
-                .select(key, "af", F.zip_with("u", sg, lambda a, b: a * b).alias("loadings")))
+    proj = V / np.where(s > 0, s, 1.0)
+    bproj = spark.sparkContext.broadcast(proj)
+
+    def loadings_batches(it):
+        import pandas as pd
+        for pdf in it:
+            z = np.vstack(pdf["z"].to_numpy()) if len(pdf) else np.zeros((0, proj.shape[0]))
+            u = z @ bproj.value
+            yield pd.DataFrame({key: pdf[key], "af": pdf["af"], "loadings": list(u)})
+
+    schema = T.StructType([norm.schema[key], T.StructField("af", T.DoubleType()),
+                           T.StructField("loadings", T.ArrayType(T.DoubleType()))])
+    loadings = norm.select(key, "af", "z").mapInPandas(loadings_batches, schema)
     return eig, scores, loadings
 
 

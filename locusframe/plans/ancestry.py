@@ -54,11 +54,11 @@ def prune(spark: SparkSession, arrs: DataFrame, sites: DataFrame, keep: DataFram
     return LD.ld_prune(spark, nodes, edges)
 
 
-def build_reference(spark: SparkSession, calls: DataFrame, sites: DataFrame, samples: DataFrame,
-                    k: int = 10, af_min: float = 0.01, hwe_min: float = 1e-6, r2: float = 0.1,
-                    n_trees: int = RF.N_TREES, max_depth: int = 30) -> Reference:
-    """``calls`` (vid, sid, a1, a2), ``sites`` (vid, contig, pos, ref, alt),
-    ``samples`` (sid, population)."""
+def reference_pca(spark: SparkSession, calls: DataFrame, sites: DataFrame, samples: DataFrame,
+                  k: int = 10, af_min: float = 0.01, hwe_min: float = 1e-6, r2: float = 0.1):
+    """QC filters -> LD prune -> HWE-normalised PCA.  Returns (scores with
+    population, loadings keyed by variant_id with af and PC columns,
+    eigenvalues)."""
     sidx = LD.sample_index(samples)
     n = samples.count()
     arrs = cut_lineage(LD.dosage_arrays(calls, sidx, n, fill_homref=True))
@@ -70,7 +70,17 @@ def build_reference(spark: SparkSession, calls: DataFrame, sites: DataFrame, sam
     sc = PCA.scores_frame(spark, scores, sidx, k).join(samples.select("sid", "population"), "sid")
     vid_key = sites.select("vid", G.variant_id("contig", "pos", "ref", "alt").alias("variant_id"))
     lw = RF.pc_columns(load.join(vid_key, "vid"), "loadings", k).select("variant_id", "af", *pcs)
-    model = RF.rf_train(sc, pcs, "population", n_trees=n_trees, max_depth=max_depth)
+    return sc, cut_lineage(lw), eig
+
+
+def build_reference(spark: SparkSession, calls: DataFrame, sites: DataFrame, samples: DataFrame,
+                    k: int = 10, af_min: float = 0.01, hwe_min: float = 1e-6, r2: float = 0.1,
+                    n_trees: int = RF.N_TREES, max_depth: int = 30, pca=None) -> Reference:
+    """``calls`` (vid, sid, a1, a2), ``sites`` (vid, contig, pos, ref, alt),
+    ``samples`` (sid, population).  ``pca`` may pass a finished
+    :func:`reference_pca` result (stage reuse)."""
+    sc, lw, eig = pca or reference_pca(spark, calls, sites, samples, k, af_min, hwe_min, r2)
+    model = RF.rf_train(sc, _pcs(k), "population", n_trees=n_trees, max_depth=max_depth)
     return Reference(sc, lw, eig, model, k)
 
 
