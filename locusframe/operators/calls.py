@@ -15,10 +15,16 @@ from locusframe.functions.hwe import excess_het, hwe_exact_p
 
 
 def parse_calls(entries: DataFrame, gt: str = "gt") -> DataFrame:
-    """Add ``a1, a2, phased, ploidy`` parsed from the GT string."""
-    p = G.gt_parse(gt)
-    return entries.withColumns({"a1": p["a1"], "a2": p["a2"], "phased": p["phased"],
-                                "ploidy": p["ploidy"]})
+    """Add ``a1, a2, phased, ploidy`` parsed from the GT string.  The GT is
+    split once in a projection and the fields are read from that array
+    (rather than re-evaluating a struct expression per field)."""
+    cols = entries.columns
+    d = entries.withColumn("_gp", F.split(F.col(gt), r"[/|]"))
+    return d.select(*cols,
+                    F.element_at("_gp", 1).try_cast("int").alias("a1"),
+                    F.when(F.size("_gp") >= 2, F.element_at("_gp", 2).try_cast("int")).alias("a2"),
+                    F.col(gt).contains("|").alias("phased"),
+                    F.when(F.col(gt).isNotNull(), F.size("_gp")).alias("ploidy"))
 
 
 def split_alleles(sites: DataFrame, alt: str = "alt") -> DataFrame:

@@ -61,8 +61,9 @@ def reference_pca(spark: SparkSession, calls: DataFrame, sites: DataFrame, sampl
     eigenvalues)."""
     sidx = LD.sample_index(samples)
     n = samples.count()
-    arrs = cut_lineage(LD.dosage_arrays(calls, sidx, n, fill_homref=True))
-    keep = filtered_variants(calls, sites, n, af_min, hwe_min)
+    keep = cut_lineage(filtered_variants(calls, sites, n, af_min, hwe_min))
+    # dense arrays only for variants that passed the filters
+    arrs = cut_lineage(LD.dosage_arrays(calls.join(keep.select("vid"), "vid"), sidx, n, fill_homref=True))
     kept = prune(spark, arrs, sites, keep, r2)
     norm = cut_lineage(PCA.hwe_normalize(arrs.join(kept, "vid")))
     eig, scores, load = PCA.pca_hwe(norm, k)
@@ -91,11 +92,10 @@ def infer_samples(spark: SparkSession, ref: Reference, entries: DataFrame) -> Da
     n_features = len(ref.model.stages[1].getInputCols())
     if n_features != ref.k:
         raise ValueError(f"model expects {n_features} PCs, loadings have {ref.k}")
-    g = G.gt_parse("gt")
     keys = [c for c in ("file", "sample") if c in entries.columns]
-    calls = entries.select(G.variant_id("contig", "pos", "ref", "alt").alias("variant_id"),
-                           F.concat_ws("|", *keys).alias("sid"), *keys,
-                           g["a1"].alias("a1"), g["a2"].alias("a2"))
+    parsed = C.parse_calls(entries.select("contig", "pos", "ref", "alt", "gt", *keys))
+    calls = parsed.select(G.variant_id("contig", "pos", "ref", "alt").alias("variant_id"),
+                          F.concat_ws("|", *keys).alias("sid"), *keys, "a1", "a2")
     pcs = _pcs(ref.k)
     proj = pc_project(calls, ref.loadings, pcs, key="variant_id", sample="sid")
     ids = calls.select("sid", *keys).distinct()
@@ -116,8 +116,8 @@ def ancestry_round_two(spark: SparkSession, calls: DataFrame, sites: DataFrame,
         c = calls.join(s.select("sid"), "sid", "left_semi")
         sidx = LD.sample_index(s)
         n = s.count()
-        arrs = LD.dosage_arrays(c, sidx, n, fill_homref=True)
-        keep = filtered_variants(c, sites, n, af_min, hwe_min)
+        keep = cut_lineage(filtered_variants(c, sites, n, af_min, hwe_min))
+        arrs = cut_lineage(LD.dosage_arrays(c.join(keep.select("vid"), "vid"), sidx, n, fill_homref=True))
         kept = prune(spark, arrs, sites, keep, r2)
         norm = PCA.hwe_normalize(arrs.join(kept, "vid"))
         kk = min(k, n - 1)
