@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.operators.scan import prefix_scan
+from locusframe.session import cut_lineage
 
 DEFAULT_BIN = 100_000
 
@@ -70,11 +71,11 @@ def merge_intervals(iv: DataFrame, contig: str = "contig", start: str = "start",
     end).  Duplicate starts are pre-aggregated (map-side), so a hot position
     cannot overload a task; the running max of ``end`` is a bucketed prefix
     scan (see :mod:`locusframe.operators.scan`)."""
-    d = (iv.groupBy(contig, start).agg(F.max(end).alias(end))
-         .withColumn("_bk", F.floor(F.col(start) / width).cast("long")))
+    d = cut_lineage(iv.groupBy(contig, start).agg(F.max(end).alias(end))
+                    .withColumn("_bk", F.floor(F.col(start) / width).cast("long")))
     d = prefix_scan(d, [contig], ["_bk"], [start], F.col(end), "max", inclusive=False, out="_prev")
     d = d.withColumn("_new", F.when(F.col("_prev").isNull() | (F.col(start) > F.col("_prev")), 1).otherwise(0))
-    d = prefix_scan(d, [contig], ["_bk"], [start], F.col("_new"), "sum", inclusive=True, out="_grp")
+    d = prefix_scan(cut_lineage(d), [contig], ["_bk"], [start], F.col("_new"), "sum", inclusive=True, out="_grp")
     return d.groupBy(contig, "_grp").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_grp")
 
 
@@ -103,7 +104,7 @@ def equal_span_regions(islands: DataFrame, contig_rank: DataFrame, max_span: int
     span = end - start); one output row per (region, contig) with the lowest
     start and highest end of the pieces there.  ``contig_rank`` has
     (contig, rank)."""
-    isl = islands.join(contig_rank, contig)
+    isl = cut_lineage(islands.join(contig_rank, contig))
     total = isl.agg(F.sum(F.col(end) - F.col(start)).alias("s")).first()["s"] or 0
     if total == 0:
         return isl.limit(0).select(F.lit(0).alias("region"), contig, start, end)

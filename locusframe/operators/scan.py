@@ -6,7 +6,9 @@ each (key, bucket) — buckets are coarse, order-preserving slices such as
 ``floor(pos / W)`` — plus an exclusive prefix over the per-bucket totals,
 which is a table of one row per bucket (small), joined back on the bucket.
 Every window partition is therefore bounded by the bucket size, not by the
-size of the largest contig.
+size of the largest contig.  A scan reads its input twice (bucket totals,
+then local windows), so callers chaining scans materialise the input of
+each scan (``cut_lineage``) rather than recomputing upstream work.
 """
 
 from __future__ import annotations
