@@ -94,7 +94,8 @@ def q_infer_samples(spark, sf_dir):
     from locusframe.sources.vcf import read_vcf
     f = fx(spark, sf_dir)
     ref = _reference(f)
-    entries = read_vcf(spark, fixture_vcf(f)).entries.select("contig", "pos", "ref", "alt", "sample", "gt")
+    entries = read_vcf(spark, fixture_vcf(f), keep_sites=PL.loading_sites(ref)).entries \
+        .select("contig", "pos", "ref", "alt", "sample", "gt")
     return rounded(PL.infer_samples(spark, ref, entries))
 
 

@@ -19,7 +19,8 @@ def parse_calls(entries: DataFrame, gt: str = "gt") -> DataFrame:
     split once in a projection and the fields are read from that array
     (rather than re-evaluating a struct expression per field)."""
     cols = entries.columns
-    d = entries.withColumn("_gp", F.split(F.col(gt), r"[/|]"))
+    # '|' -> '/' then a single-character split (no regular expression)
+    d = entries.withColumn("_gp", F.split(F.translate(F.col(gt), "|", "/"), "/"))
     return d.select(*cols,
                     F.element_at("_gp", 1).try_cast("int").alias("a1"),
                     F.when(F.size("_gp") >= 2, F.element_at("_gp", 2).try_cast("int")).alias("a2"),

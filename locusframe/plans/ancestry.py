@@ -17,7 +17,7 @@ from locusframe.operators import forest as RF
 from locusframe.operators import ld as LD
 from locusframe.operators import pca as PCA
 from locusframe.operators.ancestry import pc_project
-from locusframe.session import cut_lineage
+from locusframe.session import broadcast_checked, cut_lineage
 
 
 @dataclass
@@ -85,21 +85,33 @@ def build_reference(spark: SparkSession, calls: DataFrame, sites: DataFrame, sam
     return Reference(sc, lw, eig, model, k)
 
 
+def loading_sites(ref: Reference) -> DataFrame:
+    """(variant_id, contig, pos, ref, alt) of the reference loadings."""
+    parts = F.split("variant_id", "_")
+    return ref.loadings.select("variant_id", parts.getItem(0).alias("contig"),
+                               parts.getItem(1).cast("long").alias("pos"),
+                               parts.getItem(2).alias("ref"), parts.getItem(3).alias("alt"))
+
+
 def infer_samples(spark: SparkSession, ref: Reference, entries: DataFrame) -> DataFrame:
     """Project new samples (long entries with contig, pos, ref, alt, sample,
     gt and optionally file) onto the reference loadings and classify them.
-    Fails when the model width differs from the number of components."""
+    Fails when the model width differs from the number of components.
+    Reading with ``read_vcf(..., keep_sites=loading_sites(ref))`` keeps
+    only loading sites before sample columns are exploded."""
     n_features = len(ref.model.stages[1].getInputCols())
     if n_features != ref.k:
         raise ValueError(f"model expects {n_features} PCs, loadings have {ref.k}")
     keys = [c for c in ("file", "sample") if c in entries.columns]
-    parsed = C.parse_calls(entries.select("contig", "pos", "ref", "alt", "gt", *keys))
-    calls = parsed.select(G.variant_id("contig", "pos", "ref", "alt").alias("variant_id"),
-                          F.concat_ws("|", *keys).alias("sid"), *keys, "a1", "a2")
+    # keep only entries at loading sites (a broadcast of the bounded loading
+    # key set) before any genotype is parsed
+    e = entries.select("contig", "pos", "ref", "alt", "gt", *keys).join(
+        broadcast_checked(loading_sites(ref), 5_000_000), ["contig", "pos", "ref", "alt"])
+    parsed = C.parse_calls(e)
+    calls = parsed.select("variant_id", F.concat_ws("|", *keys).alias("sid"), *keys, "a1", "a2")
     pcs = _pcs(ref.k)
-    proj = pc_project(calls, ref.loadings, pcs, key="variant_id", sample="sid")
-    ids = calls.select("sid", *keys).distinct()
-    return RF.rf_predict(ref.model, proj.join(ids, "sid"), "predicted").drop("sid")
+    proj = pc_project(calls, ref.loadings, pcs, key="variant_id", sample="sid", carry=keys)
+    return RF.rf_predict(ref.model, proj, "predicted").drop("sid")
 
 
 def ancestry_round_two(spark: SparkSession, calls: DataFrame, sites: DataFrame, labelled: DataFrame,
