@@ -253,11 +253,11 @@ def q_dedupe_exclude_all(spark, sf_dir):
     return dedupe_exclude_all(s, "rsid").select("vid", "rsid", "variant_id")
 
 
-SQL_SCORE = SQL_PCALL + """,
-uniq AS (SELECT * FROM fx_site WHERE rsid IN (SELECT rsid FROM fx_site GROUP BY rsid HAVING count(*) = 1)),
+SQL_SCORE_BODY = """uniq AS (SELECT * FROM fx_site WHERE rsid IN (SELECT rsid FROM fx_site GROUP BY rsid HAVING count(*) = 1)),
 m AS (SELECT w.pgs, w.rsid, w.allele, w.beta, u.vid,
              CASE WHEN w.allele = u.ref THEN 0 ELSE coalesce(list_position(string_split(u.alt, ','), w.allele), -1) END AS eff
       FROM fx_weight w LEFT JOIN uniq u ON w.rsid = u.rsid)"""
+SQL_SCORE = SQL_PCALL + ",\n" + SQL_SCORE_BODY
 
 
 @register("polygenic_score", "WITH " + SQL_SCORE + """

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from locusframe.catalog import register
 from locusframe.catalog._common import SQL_VQC_FILLED, fx, n_samples, parsed_calls, rounded
+from locusframe.catalog.aggregates import SQL_SCORE_BODY
 from locusframe.catalog.joins import SQL_AF, SQL_CLIN, _clinical, _projection
 from locusframe.functions.hwe import hwe_sql
 from locusframe.operators import forest as RF
@@ -164,13 +165,7 @@ def q_final_lists(spark, sf_dir):
     return PL.final_lists(lab)
 
 
-@register("pgs_residualize", "WITH " + SQL_AF.replace("WITH ", "") + """,
-""" + __import__("locusframe.catalog.aggregates", fromlist=["SQL_SCORE"]).SQL_SCORE.replace(
-    "pcall AS (", "pcall2 AS (", 1).split(",\nuniq AS", 1)[0].replace("pcall2 AS (", "pcall_unused AS (") + """,
-uniq AS (SELECT * FROM fx_site WHERE rsid IN (SELECT rsid FROM fx_site GROUP BY rsid HAVING count(*) = 1)),
-m AS (SELECT w.pgs, w.rsid, w.allele, w.beta, u.vid,
-             CASE WHEN w.allele = u.ref THEN 0 ELSE coalesce(list_position(string_split(u.alt, ','), w.allele), -1) END AS eff
-      FROM fx_weight w LEFT JOIN uniq u ON w.rsid = u.rsid),
+@register("pgs_residualize", "WITH " + SQL_AF + ",\n" + SQL_SCORE_BODY + """,
 sc AS (SELECT m.pgs, c.sid,
          sum(m.beta * ((CASE WHEN c.a1 = m.eff THEN 1 ELSE 0 END) + (CASE WHEN c.a2 = m.eff THEN 1 ELSE 0 END)))
          / sum((CASE WHEN c.a1 IS NULL THEN 0 ELSE 1 END) + (CASE WHEN c.a2 IS NULL THEN 0 ELSE 1 END)) AS score
