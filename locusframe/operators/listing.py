@@ -6,10 +6,11 @@ from __future__ import annotations
 
 import fnmatch
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.functions import paths as P
+from locusframe.operators.scan import prefix_scan
 
 # Transfer status letters.
 STATUS_MISSING = "M"   # source object absent
@@ -115,9 +116,13 @@ def size_layout(listing: DataFrame, name: str = "name", size: str = "size") -> D
     nodes = folders.unionByName(files)
     par = F.regexp_extract(F.col("node"), r"^(.*/)?[^/]+/?$", 1)
     nodes = nodes.withColumn("parent", par)
-    w = (Window.partitionBy("parent").orderBy("is_file", "node")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    nodes = nodes.withColumn("own", F.coalesce(F.sum("extent").over(w), F.lit(0)).cast("long"))
+    # running sum over siblings in (is_file, name) order, bucketed by a name
+    # prefix (order-preserving inside a parent) so a folder with a very large
+    # share of all objects is not one window partition
+    nodes = nodes.withColumn("_bk", F.expr("substring(node, length(parent) + 1, 4)"))
+    nodes = prefix_scan(nodes, ["parent"], ["is_file", "_bk"], ["node"], F.col("extent"), "sum",
+                        inclusive=False, out="own").drop("_bk")
+    nodes = nodes.withColumn("own", F.col("own").cast("long"))
     # start = own offset of the node plus the own offsets of all its ancestors
     anc = ancestor_prefixes(nodes.select("node"), "node").where(F.col("depth") > 0) \
         .select("node", F.col("prefix").alias("anc")).where(F.col("anc") != F.col("node"))
