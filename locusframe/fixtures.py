@@ -89,7 +89,7 @@ def _deps(name: str) -> list[str]:
 class Fixtures:
     """Lazily loaded base tables and fixture views for one data folder."""
 
-    _cache: dict[tuple[int, str], "Fixtures"] = {}
+    _cache: dict[tuple[int, str, str], "Fixtures"] = {}
     _lock = threading.Lock()
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -100,9 +100,11 @@ class Fixtures:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
-        key = (id(spark), sf_dir.rstrip("/"))
+        # the application id guards against a new session reusing the id()
+        # of a stopped one (cached frames would point at a dead context)
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         with cls._lock:
-            if key not in cls._cache:
+            if key not in cls._cache or cls._cache[key].spark is not spark:
                 cls._cache[key] = cls(spark, sf_dir)
             return cls._cache[key]
 
