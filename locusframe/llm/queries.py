@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from locusframe.llm import bpe as B
 from locusframe.llm import chat_format as C
 from locusframe.llm import exact_dedup as D
+from locusframe.llm import importance as I
 from locusframe.llm import packing as P
 from locusframe.llm import simhash as H
+from locusframe.llm import suffix_dedup as S
 from locusframe.llm import syncmers as Y
 from locusframe.llm import token_files as T
+from locusframe.llm import toxicity as X
 from locusframe.llm.common import table
 from locusframe.session import scratch_path
 
@@ -64,8 +67,16 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.near_duplicates(table(spark, sf_dir, "documents"))
+    return H.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,14 +93,23 @@ def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Y.compare_edits(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = S.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
+    "op5_importance": op5_importance,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op8_token_counts": op8_token_counts,
     "op9_syncmers": op9_syncmers,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES = {

@@ -58,14 +58,14 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and ``fp`` (the 64 bits as a signed long)."""
+    """doc_id, key (sha256 of the text) and ``fp`` (64 bits as a signed long)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.array([simhash(t.encode(), shingle) for t in b["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "fp": fp.view(np.int64)})
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint"
-    return docs.select("doc_id", body().alias("text")).mapInPandas(run, schema)
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key string, fp bigint"
+    return docs.select("doc_id", F.sha2(body(), 256).alias("key"), body().alias("text")).mapInPandas(run, schema)
 
 
 class BKTree:
@@ -189,7 +189,8 @@ def links(codes: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) ->
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
                     tree_size: int = TREE_SIZE) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id per document."""
+    """Per document doc_id, fingerprint (16 hex digits), component_id; and
+    key (sha256 of the text) and label (a number of the component)."""
     fps = stored(fingerprints(docs, shingle), "simhash")
     codes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "codes")
     label = connected_components(links(codes.select("fp"), radius, tree_size))
@@ -198,5 +199,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     groups = of.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("w"))
     facts = lookup(of.select("fp", "n", "label"), groups, "label", "w", of.agg(F.count(F.lit(1)).alias("total")))
     total = codes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    found = lookup(fps, facts.select("fp", "n", "component_id"), "fp", "n", total)
-    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    found = lookup(fps, facts.select("fp", "n", "component_id", "label"), "fp", "n", total)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "key", "label")
