@@ -42,7 +42,7 @@ from locusframe.llm.common import body, stored
 from locusframe.llm.grams import ODD, mixed
 
 LENGTH, WORD = 50, 20
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 3 << 20
 RANGE_BYTES = 16 << 20
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 CHUNK_BITS = 20
