@@ -50,7 +50,8 @@ def settings(spark: SparkSession, **conf: str):
                 spark.conf.set(k, v)
 
 
-def lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: DataFrame) -> DataFrame:
+def lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: DataFrame,
+           hint: str | None = None) -> DataFrame:
     """Left join of ``rows`` to ``facts`` (one row per ``key``) that no hot
     key can unbalance.
 
@@ -59,7 +60,8 @@ def lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: Data
     least 1/HOT_SHARE of the rows are at most HOT_SHARE many: they are
     broadcast. The others meet in an ordinary join; rows that the broadcast
     has served, and rows without a key, get a number of their own beside the
-    key there, so they spread evenly and match nothing.
+    key there, so they spread evenly and match nothing. ``hint`` names a join
+    strategy for the other keys, for a plan that is the same at every size.
     """
     values = [c for c in facts.columns if c != key]
     marked = facts.withColumn("_found", F.struct(*values)).crossJoin(F.broadcast(total))  # one row on the right
@@ -69,7 +71,7 @@ def lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: Data
     served = F.col("_hot").isNotNull() | F.col(key).isNull()
     spread = F.when(served, F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("long"))
     out = (rows.join(F.broadcast(hot), key, "left").withColumn("_spread", spread)
-           .join(cold, [key, "_spread"], "left"))
+           .join(cold.hint(hint) if hint else cold, [key, "_spread"], "left"))
     found = F.coalesce(F.col("_hot"), F.col("_cold"))
     return out.select(*rows.columns, *[found[c].alias(c) for c in values])
 

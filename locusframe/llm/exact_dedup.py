@@ -31,7 +31,9 @@ from locusframe.session import scratch_path
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE = {"spark__sql__streaming__stateStore__providerClass": ROCKSDB,
          "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
-         "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true"}
+         "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true",
+         # a store is closed once its part of a batch is committed: an open one holds 4 MB of local disk
+         "spark__sql__streaming__stateStore__unloadOnCommit": "true"}
 
 
 def sha256(text: Column) -> Column:
@@ -93,7 +95,7 @@ def _differing(docs: DataFrame, hits: DataFrame, total: DataFrame, digest) -> Da
     largest; both are aggregated map-side, so a group of any size sends one
     pair of texts per task."""
     texts = docs.select(digest(body()).alias("digest"), body().alias("text"))
-    found = lookup(texts, hits.select("digest", "group_size"), "digest", "group_size", total)
+    found = lookup(texts, hits.select("digest", "group_size"), "digest", "group_size", total, hint="merge")
     return (found.filter(F.col("group_size").isNotNull()).groupBy("digest")
             .agg(F.min("text").alias("least"), F.max("text").alias("most"))
             .filter(F.col("least") != F.col("most")).select("digest"))
