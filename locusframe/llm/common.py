@@ -67,7 +67,9 @@ def lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: Data
     marked = facts.withColumn("_found", F.struct(*values)).crossJoin(F.broadcast(total))  # one row on the right
     heavy = F.col(weight) * HOT_SHARE >= F.col("total")
     hot = marked.filter(heavy).select(key, F.col("_found").alias("_hot"))
-    cold = marked.filter(~heavy).select(key, F.lit(0).cast("long").alias("_spread"), F.col("_found").alias("_cold"))
+    # 0 in every row, but no constant: a constant would drop out of the join keys
+    never = F.when(F.col(weight) < 0, F.lit(1)).otherwise(F.lit(0))
+    cold = marked.filter(~heavy).select(key, never.cast("long").alias("_spread"), F.col("_found").alias("_cold"))
     served = F.col("_hot").isNotNull() | F.col(key).isNull()
     spread = F.when(served, F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("long"))
     out = (rows.join(F.broadcast(hot), key, "left").withColumn("_spread", spread)

@@ -38,20 +38,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusframe.llm.common import body, stored
+from locusframe.llm.common import body, settings, stored
 from locusframe.llm.grams import ODD, mixed
+from locusframe.session import scratch_path
 
 LENGTH, WORD = 50, 20
 BATCH_BYTES = 3 << 20
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 8 << 20
+#: Rows hold megabytes: they go to Python a few at a time.
+ONE_ROW = {"spark__sql__execution__arrow__maxRecordsPerBatch": "2"}
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 CHUNK_BITS = 20
 U = np.uint64
 
 
 def batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """Documents in rows of about ``batch_bytes`` of text, stored: batch,
-    doc_ids, keys (a digest of each text), ends (of each text in the blob)."""
+    """Documents in rows of about ``batch_bytes`` of text: batch, doc_ids,
+    keys (a digest of each text), ends (of each text in the blob), blob. They
+    are a table in the shared folder, bucketed by batch, so what is found for
+    a batch is joined to it later without moving the texts again."""
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 32
         ids, keys, texts, size = [], [], [], 0
@@ -69,8 +74,12 @@ def batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
             yield _batch(number, ids, keys, texts)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(body(), 256).alias("key"), body().alias("text"))
-    return stored(rows.mapInPandas(run, "batch bigint, doc_ids array<bigint>, keys array<string>, ends binary, blob binary"),
-                  "suffix-batches")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "suffix_batches")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    (rows.mapInPandas(run, "batch bigint, doc_ids array<bigint>, keys array<string>, ends binary, blob binary")
+     .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "batch").option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 def _batch(number, ids, keys, texts) -> pd.DataFrame:
@@ -269,7 +278,7 @@ def _judge_entries(pdf: pd.DataFrame) -> pd.DataFrame:
     words, runs = Family(), Family()
     sent = [_unpack(raw, np.uint32) for raw in pdf["payload"]]
     for h, doc, s in sent:
-        words.add(h, doc, -doc, s.astype(np.int64), -s.astype(np.int64))
+        words.add(h, doc, -doc, s, ~s)
         real = s > 0
         runs.add(_entry_key(h[real], s[real]), doc[real])
     out = []
@@ -277,7 +286,7 @@ def _judge_entries(pdf: pd.DataFrame) -> pd.DataFrame:
         low, high, low_s, high_s = words.scan(h)
         first = runs.scan(_entry_key(h, s))
         covered = (first[0] < doc) & (s > 0) if first else np.zeros(len(h), bool)
-        several = (low_s == 0) | ((low < -high) & (low_s < -high_s))
+        several = (low_s == 0) | ((low < -high) & (low_s < ~high_s))
         out.append(np.where(covered, 1, np.where(several & (s > 0), 2, 0)).astype(np.uint8).tobytes())
     return pd.DataFrame({"batch": pdf["batch"], "part": pdf["part"], "payload": out})
 
@@ -310,7 +319,7 @@ def _collected(rows: DataFrame) -> DataFrame:
     """Payloads of each batch in one row; a batch's share is bounded by its
     size, whatever the corpus."""
     item = F.struct(*[c for c in ("part", "kind", "payload") if c in rows.columns])
-    return rows.groupBy("batch").agg(F.sort_array(F.collect_list(item)).alias("found"))
+    return rows.groupBy("batch").agg(F.sort_array(F.collect_list(item)).alias("found")).hint("shuffle_hash")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, word: int = WORD, batch_bytes: int = BATCH_BYTES,
@@ -340,7 +349,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, word: int = WORD, batc
             yield pd.DataFrame(got, columns=["part", "batch", "payload"]).astype({"part": "int64", "batch": "int64"})
 
     sent = table.select("batch", "doc_ids", "ends", "blob").mapInPandas(index, "part bigint, batch bigint, payload binary")
-    verdicts = stored(_dealt(sent, _judge_entries, "batch bigint, part bigint, payload binary"), "suffix-verdicts")
+    with settings(spark, **ONE_ROW):
+        verdicts = stored(_dealt(sent, _judge_entries, "batch bigint, part bigint, payload binary"), "suffix-verdicts")
 
     def compare(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in rows(it):
@@ -367,7 +377,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, word: int = WORD, batc
 
     todo = table.select("batch", "doc_ids", "ends", "blob").join(_collected(verdicts), "batch", "left")
     asked = todo.mapInPandas(compare, "part bigint, batch bigint, kind bigint, payload binary")
-    spans = stored(_dealt(asked, _judge_windows, "batch bigint, kind bigint, payload binary"), "suffix-spans")
+    with settings(spark, **ONE_ROW):
+        spans = stored(_dealt(asked, _judge_windows, "batch bigint, kind bigint, payload binary"), "suffix-spans")
 
     def cut(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in rows(it):
