@@ -43,10 +43,11 @@ from locusframe.llm.grams import ODD, mixed
 from locusframe.session import scratch_path
 
 LENGTH, WORD = 50, 20
-BATCH_BYTES = 3 << 20
-RANGE_BYTES = 8 << 20
-#: Rows hold megabytes: they go to Python a few at a time.
-ONE_ROW = {"spark__sql__execution__arrow__maxRecordsPerBatch": "2"}
+#: Rows above half a heap region (512 KB) would be allocated one by one, and fragment an executor's heap.
+BATCH_BYTES = 384 << 10
+RANGE_BYTES = 32 << 20
+#: Rows hold whole batches: they go to Python a few at a time.
+ONE_ROW = {"spark__sql__execution__arrow__maxRecordsPerBatch": "16"}
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 CHUNK_BITS = 20
 U = np.uint64
