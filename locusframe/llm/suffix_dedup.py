@@ -45,9 +45,10 @@ from locusframe.session import scratch_path
 LENGTH, WORD = 50, 20
 #: Rows above half a heap region (512 KB) would be allocated one by one, and fragment an executor's heap.
 BATCH_BYTES = 384 << 10
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 4 << 20
 #: Rows hold whole batches: they go to Python a few at a time.
 ONE_ROW = {"spark__sql__execution__arrow__maxRecordsPerBatch": "16"}
+DOCS_AT_ONCE = 500
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 CHUNK_BITS = 20
 U = np.uint64
@@ -78,8 +79,10 @@ def batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     spark = docs.sparkSession
     path = scratch_path(spark, "suffix_batches")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
-    (rows.mapInPandas(run, "batch bigint, doc_ids array<bigint>, keys array<string>, ends binary, blob binary")
-     .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "batch").option("path", path).saveAsTable(name))
+    made = rows.mapInPandas(run, "batch bigint, doc_ids array<bigint>, keys array<string>, ends binary, blob binary")
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(DOCS_AT_ONCE)):
+        (made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "batch")
+         .option("path", path).saveAsTable(name))
     return spark.table(name)
 
 
