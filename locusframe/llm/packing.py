@@ -31,7 +31,7 @@ MAX_LEN, END_ID = 1024, 2
 #: Lengths are planned in steps of so many tokens (rounded up).
 STEP = 2
 #: Shares of the fitted counts that are tried; what is not used is packed best-fit.
-SHARES = (1.0, 0.9, 0.75)
+SHARES = (1.0, 0.75, 0.5, 0.25)
 #: Lengths under 1/SHORT of a sequence are in no pattern: they fill what gaps remain.
 SHORT = 8
 GROUP_ROWS = 20_000

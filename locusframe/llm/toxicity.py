@@ -13,7 +13,7 @@ bucket, which is what is sent to the tasks.
 Defined results
 * Null text counts as empty; a text without words gets the bias alone.
 * Scores depend on the text alone: equal texts have equal scores.
-* Without training rows of both classes every score is the share of class 1
+* Without training rows of both classes, or words in them, every score is the share of class 1
   among the training rows (0 if there are none).
 * Rows repeat as they come; extra columns are not read; an empty table gives
   no rows.
@@ -114,7 +114,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     text is represented by the span that scores highest at the time."""
     y = np.asarray(labels, float)
     size = 1 << BITS
-    if not len(y) or y.min() == y.max():
+    if not len(y) or y.min() == y.max() or not any(t.split() for t in texts):
         share = float(y.mean()) if len(y) else 0.0
         return ToxicityModel(np.zeros(size), float(np.log(max(share, 1e-12) / max(1 - share, 1e-12))))
     # each different word once; ``code`` says which word stands at each place
@@ -148,7 +148,8 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     h, w = h[order], w[order]
     count = np.bincount(w, minlength=words)[:words]
     begin = np.cumsum(count) - count
-    balance = np.where(y[some] == 1, 0.5 / y[some].mean(), 0.5 / max(1e-9, 1 - y[some].mean()))
+    share = np.clip(y[some].mean(), 1e-9, 1 - 1e-9)
+    balance = np.where(y[some] == 1, 0.5 / share, 0.5 / (1 - share))
     for _ in range(epochs):
         weight = emb @ (soft[:, 1] - soft[:, 0])
         run = np.concatenate(([0.0], np.cumsum(weight[h])))
