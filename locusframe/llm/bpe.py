@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from locusframe.llm.common import body, worker_store
 
 #: Words whose ids are remembered by a Python worker before it starts afresh.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 
 def byte_letters() -> list[str]:

@@ -25,11 +25,22 @@ def body(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+#: Rows of an Arrow batch at most while a stage is written: a row may hold a long text.
+BATCH_ROWS = 1000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession):
+    rows = int(spark.conf.get(ARROW_ROWS))
+    return settings(spark, **{ARROW_ROWS.replace(".", "__"): str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)})
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: later
     stages read files, not a lineage that a lost executor would re-run."""
     path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -34,7 +34,7 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), starts, ends
 
 
-def chunks(texts: list[bytes], size: int = 1 << 22):
+def chunks(texts: list[bytes], size: int = 1 << 20):
     """Slices of a list of texts of about ``size`` bytes each."""
     at, total = 0, 0
     for i, t in enumerate(texts):

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm.common import body, settings
+from locusframe.llm.common import body, settings, small_batches
 from locusframe.llm.tokenise import load
 
 END_ID = 50256
@@ -57,8 +57,9 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = END
 
     tokens = docs.select("doc_id", body().alias("text")).mapInPandas(run, "ids binary")
     # the writer puts the bytes out as they are; its line separator is the end id
-    (tokens.select(F.col("ids").cast("string").alias("value")).write.option("encoding", "ISO-8859-1")
-     .option("lineSep", int(end_id).to_bytes(2, "little").decode("latin-1")).text(folder))
+    with small_batches(docs.sparkSession):
+        (tokens.select(F.col("ids").cast("string").alias("value")).write.option("encoding", "ISO-8859-1")
+         .option("lineSep", int(end_id).to_bytes(2, "little").decode("latin-1")).text(folder))
 
 
 def scan(ids: np.ndarray, end_id: int = END_ID, block: int = BLOCK_TOKENS) -> tuple[np.ndarray, np.ndarray, bool]:

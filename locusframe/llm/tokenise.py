@@ -19,7 +19,7 @@ from locusframe.llm.bpe import byte_letters
 from locusframe.llm.common import worker_store
 
 #: Pieces remembered by a Python worker before it starts afresh.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
 #: Fixed value: the word pattern of byte-level BPE files with ``use_regex``.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
