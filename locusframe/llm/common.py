@@ -96,3 +96,9 @@ def worker_store(name: str) -> types.SimpleNamespace:
     if not hasattr(holder, name):
         setattr(holder, name, types.SimpleNamespace())
     return getattr(holder, name)
+
+
+def fresh_worker() -> None:
+    """Drop what other operators' tasks cached in this Python worker process:
+    Spark hands the same workers on from stage to stage."""
+    sys.modules.pop("_locusframe_worker_store", None)

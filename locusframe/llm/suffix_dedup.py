@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusframe.llm.common import body, settings, stored
+from locusframe.llm.common import body, fresh_worker, settings, stored
 from locusframe.llm.grams import ODD, mixed
 from locusframe.session import scratch_path
 
@@ -60,6 +60,7 @@ def batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     are a table in the shared folder, bucketed by batch, so what is found for
     a batch is joined to it later without moving the texts again."""
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fresh_worker()
         number = TaskContext.get().partitionId() << 32
         ids, keys, texts, size = [], [], [], 0
         for b in it:
@@ -280,6 +281,7 @@ def _dealt(rows: DataFrame, work, schema: str) -> DataFrame:
 def _judge_entries(pdf: pd.DataFrame) -> pd.DataFrame:
     """One range of the order: per batch the verdict on each entry it sent
     (1 covered, 2 compare windows, 0 neither)."""
+    fresh_worker()
     words, runs = Family(), Family()
     sent = [_unpack(raw, np.uint32) for raw in pdf["payload"]]
     for h, doc, s in sent:
@@ -328,9 +330,10 @@ def _collected(rows: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, word: int = WORD, batch_bytes: int = BATCH_BYTES,
-                   range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Per document: doc_id, key (sha256 of the text), n_bytes, kept (binary),
-    n_removed, spans (starts and ends of removed runs, one after another)."""
+                   range_bytes: int = RANGE_BYTES, texts: bool = True) -> DataFrame:
+    """Per document: doc_id, key (sha256 of the text), n_bytes, n_removed,
+    spans (starts and ends of removed runs, one after another), kept (binary).
+    Without ``texts`` there is no ``kept``, and the last step reads no text."""
     if not 8 <= word <= length:
         raise ValueError("word must be 8 to length bytes")
     spark = docs.sparkSession
@@ -342,6 +345,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, word: int = WORD, batc
         return Entries(row["blob"], np.frombuffer(row["ends"], np.int64), np.asarray(row["doc_ids"], np.int64), length, word)
 
     def rows(it: Iterator[pd.DataFrame]):
+        fresh_worker()
         for b in it:
             for _, row in b.iterrows():
                 yield row
@@ -387,7 +391,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, word: int = WORD, batc
 
     def cut(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in rows(it):
-            blob, ends = row["blob"], np.frombuffer(row["ends"], np.int64)
+            ends = np.frombuffer(row["ends"], np.int64)
             starts = np.concatenate(([0], ends[:-1]))
             gone = [np.frombuffer(f["payload"], np.int64).reshape(2, -1) for f in row["found"] if f["kind"] == 1]
             at = np.concatenate([np.zeros(0, np.int32)] + [np.frombuffer(f["payload"], np.int32)
@@ -399,16 +403,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, word: int = WORD, batc
                 a, b = int(starts[i]), int(ends[i])
                 # texts adjoin in the blob, so spans of neighbours may have merged
                 own = [(max(a, int(first[j])) - a, min(b, int(end[j])) - a) for j in range(lo[i], hi[i]) if a < b]
-                kept, p = [], a
-                for x, y in own:
-                    kept.append(blob[p:a + x])
-                    p = a + y
-                kept.append(blob[p:b])
-                out.append((None if d == LAST else d, k, b - a, b"".join(kept), sum(y - x for x, y in own),
-                            [v for xy in own for v in xy]))
-            pdf = pd.DataFrame(out, columns=["doc_id", "key", "n_bytes", "kept", "n_removed", "spans"])
+                cuts = [v for xy in own for v in xy]
+                out.append((None if d == LAST else d, k, b - a, sum(y - x for x, y in own), cuts))
+                if texts:
+                    stay = zip([a, *(a + y for _, y in own)], [*(a + x for x, _ in own), b], strict=True)
+                    out[-1] += (b"".join(row["blob"][x:y] for x, y in stay),)
+            pdf = pd.DataFrame(out, columns=columns)
             yield pdf.astype({"doc_id": "Int64", "n_bytes": "int64", "n_removed": "int64"})
 
-    todo = table.join(_collected(spans), "batch")
-    return todo.mapInPandas(cut, "doc_id bigint, key string, n_bytes bigint, kept binary, n_removed bigint, "
-                                 "spans array<int>")
+    schema = "doc_id bigint, key string, n_bytes bigint, n_removed bigint, spans array<int>" + (", kept binary" if texts else "")
+    columns = [c.split()[0] for c in schema.split(", ")]
+    todo = (table if texts else table.drop("blob")).join(_collected(spans), "batch")
+    return todo.mapInPandas(cut, schema)

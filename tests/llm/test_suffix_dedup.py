@@ -57,10 +57,15 @@ def test_matches_direct_search(spark, seed, batch_bytes, length, word):
         cuts = list(zip(r["spans"][::2], r["spans"][1::2]))
         assert sum(b - a for a, b in cuts) == r["n_removed"]
         assert all(a < b for a, b in cuts) and all(x[1] < y[0] for x, y in zip(cuts, cuts[1:]))
+    slim = S.remove_repeats(df, length=length, word=word, batch_bytes=batch_bytes, texts=False)
+    assert slim.columns == ["doc_id", "key", "n_bytes", "n_removed", "spans"]
+    assert sorted((str(r["doc_id"]), r["key"], r["spans"]) for r in slim.collect()) == sorted(
+        (str(r["doc_id"]), r["key"], r["spans"]) for r in got)
 
 
 def test_empty_and_clashing_columns(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, batch int, part string")
     assert S.remove_repeats(df).count() == 0
     one = spark.createDataFrame([(1, "abc", 9, "p")], "doc_id bigint, text string, batch int, part string")
-    assert [tuple(r)[:1] + tuple(r)[2:5] for r in S.remove_repeats(one).collect()] == [(1, 3, bytearray(b"abc"), 0)]
+    assert [(r["doc_id"], r["n_bytes"], bytes(r["kept"]), r["n_removed"], r["spans"]) for r in S.remove_repeats(one).collect()] == [
+        (1, 3, b"abc", 0, [])]
