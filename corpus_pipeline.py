@@ -60,7 +60,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has. A character
     that a passage covers in part stays whole."""
-    cut = suffix_dedup.remove_repeats(docs).filter("n_removed > 0").select("doc_id", F.col("key").alias(KEY), F.col("spans").alias("_spans"))
+    cut = suffix_dedup.remove_repeats(docs, texts=False).filter("n_removed > 0").select("doc_id", F.col("key").alias(KEY), F.col("spans").alias("_spans"))
     cut = cut.dropDuplicates(["doc_id", KEY]).withColumnRenamed("doc_id", "_id").withColumnRenamed(KEY, "_cut")
     rows = _keyed(docs)
     found = rows.join(cut, (rows[KEY] == cut["_cut"]) & rows["doc_id"].eqNullSafe(cut["_id"]), "left")
