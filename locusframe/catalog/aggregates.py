@@ -19,7 +19,7 @@ FROM vqc0, nsamp"""))
 def q_variant_qc(spark, sf_dir):
     f = fx(spark, sf_dir)
     d = C.decompose(parsed_calls(f), f.fx_site)
-    return rounded(C.variant_qc(d, n_samples(f)))
+    return rounded(C.variant_qc(d, n_samples(f), sites=f.fx_site))
 
 
 from locusframe.catalog._common import SQL_PCALL, SQL_SALT, SQL_VQC_FILLED  # noqa: E402
@@ -68,7 +68,7 @@ SELECT vid, allele, round(AC / (2.0 * n_called), 6) AS mean_af FROM vqcf""")
 def q_mean_af(spark, sf_dir):
     f = fx(spark, sf_dir)
     d = C.decompose(parsed_calls(f), f.fx_site)
-    return rounded(C.mean_af(d, n_samples(f)))
+    return rounded(C.mean_af(d, n_samples(f), sites=f.fx_site))
 
 
 @register("fill_tags", "WITH " + SQL_PCALL + ",\n" + SQL_SALT + """,
@@ -263,16 +263,19 @@ SQL_SCORE = SQL_PCALL + ",\n" + SQL_SCORE_BODY
 @register("polygenic_score", "WITH " + SQL_SCORE + """
 SELECT m.pgs, c.sid,
        CAST(sum((CASE WHEN c.a1 IS NULL THEN 0 ELSE 1 END) + (CASE WHEN c.a2 IS NULL THEN 0 ELSE 1 END)) AS BIGINT) AS n_alleles,
-       round(sum(m.beta * ((CASE WHEN c.a1 = m.eff THEN 1 ELSE 0 END) + (CASE WHEN c.a2 = m.eff THEN 1 ELSE 0 END))), 6) AS score_sum,
-       round(sum(m.beta * ((CASE WHEN c.a1 = m.eff THEN 1 ELSE 0 END) + (CASE WHEN c.a2 = m.eff THEN 1 ELSE 0 END)))
-             / sum((CASE WHEN c.a1 IS NULL THEN 0 ELSE 1 END) + (CASE WHEN c.a2 IS NULL THEN 0 ELSE 1 END)), 6) AS score
+       floor(CAST(sum(CAST(m.beta AS DECIMAL(28,12)) * ((CASE WHEN c.a1 = m.eff THEN 1 ELSE 0 END) + (CASE WHEN c.a2 = m.eff THEN 1 ELSE 0 END)))
+                  AS DOUBLE) * 1e6 + 0.5) / 1e6 AS score_sum,
+       floor(CAST(sum(CAST(m.beta AS DECIMAL(28,12)) * ((CASE WHEN c.a1 = m.eff THEN 1 ELSE 0 END) + (CASE WHEN c.a2 = m.eff THEN 1 ELSE 0 END)))
+                  AS DOUBLE) / sum((CASE WHEN c.a1 IS NULL THEN 0 ELSE 1 END) + (CASE WHEN c.a2 IS NULL THEN 0 ELSE 1 END)) * 1e6 + 0.5) / 1e6 AS score
 FROM m JOIN pcall c ON m.vid = c.vid WHERE m.eff > 0 OR (m.eff = 0)
 GROUP BY m.pgs, c.sid
 HAVING sum((CASE WHEN c.a1 IS NULL THEN 0 ELSE 1 END) + (CASE WHEN c.a2 IS NULL THEN 0 ELSE 1 END)) > 0""")
 def q_polygenic_score(spark, sf_dir):
     f = fx(spark, sf_dir)
     scores, _ = polygenic_score(parsed_calls(f), f.fx_site, f.fx_weight)
-    return rounded(scores)
+    # scores lie on halves of the last place: both sides round the same double half up
+    half_up = {c: F.floor(F.col(c) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6) for c in ("score_sum", "score")}
+    return scores.withColumns(half_up)
 
 
 @register("transfer_status_counts", """

@@ -175,27 +175,33 @@ def q_shard_transpose(spark, sf_dir):
         .select(F.col("shard").cast("long").alias("shard"), "sample", "file")
 
 
+# The labels of the embeddings and the contigs of the fixture sites.
+LABELS = [str(i) for i in range(10)]
+AUTOSOMES = [f"chr{i}" for i in range(1, 23)]
+
+
 @register("bounds_table", """
 WITH pcs AS (SELECT label, CAST(embedding[1] AS DOUBLE) AS pc1, CAST(embedding[2] AS DOUBLE) AS pc2 FROM embeddings),
 b AS (SELECT label, avg(pc1) - 2 * stddev_samp(pc1) AS pc1_min, avg(pc1) + 2 * stddev_samp(pc1) AS pc1_max,
              avg(pc2) - 2 * stddev_samp(pc2) AS pc2_min, avg(pc2) + 2 * stddev_samp(pc2) AS pc2_max FROM pcs GROUP BY label),
 l AS (UNPIVOT b ON pc1_min, pc1_max, pc2_min, pc2_max INTO NAME stat VALUE value)
-PIVOT (SELECT stat, CAST(label AS VARCHAR) AS label, round(value, 6) AS value FROM l) ON label USING first(value) GROUP BY stat""")
+SELECT stat, """ + ", ".join(f"""max(CASE WHEN label = {x} THEN round(value, 6) END) AS "{x}" """ for x in LABELS) + "FROM l GROUP BY stat")
 def q_bounds_table(spark, sf_dir):
     e = fx(spark, sf_dir).embeddings
     pcs = e.select("label", F.element_at("embedding", 1).cast("double").alias("pc1"),
                    F.element_at("embedding", 2).cast("double").alias("pc2"))
     b = rounded(pc_box_bounds(pcs, "label", 2.0))
-    return RS.bounds_table(b, "label", ["pc1_min", "pc1_max", "pc2_min", "pc2_max"])
+    return RS.bounds_table(b, "label", ["pc1_min", "pc1_max", "pc2_min", "pc2_max"], LABELS)
 
 
 @register("contig_unstack", "WITH " + SQL_CARRIED + """
-PIVOT (SELECT sid, contig, count(*) AS n FROM carried GROUP BY sid, contig) ON contig USING first(n) GROUP BY sid""")
+SELECT sid, """ + ", ".join(f"max(CASE WHEN contig = '{x}' THEN n END) AS {x}" for x in AUTOSOMES) + """
+FROM (SELECT sid, contig, count(*) AS n FROM carried GROUP BY sid, contig) p GROUP BY sid""")
 def q_contig_unstack(spark, sf_dir):
     f = fx(spark, sf_dir)
     c = C.carrier_rows(parsed_calls(f), f.fx_site.select("vid", "ref", "alt")).join(f.fx_site.select("vid", "contig"), "vid")
     per = c.groupBy("sid", "contig").agg(F.count(F.lit(1)).alias("n"))
-    return RS.pivot_wide(per, ["sid"], "contig", "n")
+    return RS.pivot_wide(per, ["sid"], "contig", "n", AUTOSOMES)
 
 
 @register("explode_list", """

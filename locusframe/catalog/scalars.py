@@ -122,7 +122,7 @@ SELECT v.vid, v.allele, v.n_hom_ref, v.n_het, v.n_hom_alt, round(p.p_hwe, 6) AS
 FROM vqcf v JOIN p ON v.vid = p.vid AND v.allele = p.allele""")
 def q_hwe_exact_p(spark, sf_dir):
     f = fx(spark, sf_dir)
-    q = C.variant_qc(C.decompose(parsed_calls(f), f.fx_site), n_samples(f), fill_homref=True)
+    q = C.variant_qc(C.decompose(parsed_calls(f), f.fx_site), n_samples(f), fill_homref=True, sites=f.fx_site)
     return rounded(q.select("vid", "allele", "n_hom_ref", "n_het", "n_hom_alt",
                             hwe_exact_p("n_hom_ref", "n_het", "n_hom_alt").alias("p_hwe")))
 

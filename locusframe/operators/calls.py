@@ -63,14 +63,24 @@ def allele_stats(dcalls: DataFrame) -> DataFrame:
     return dcalls.withColumns({"k": k, "d": d})
 
 
+def _all_alleles(agg: DataFrame, sites: DataFrame | None, keys: tuple[str, ...]) -> DataFrame:
+    """Counts per (site, ALT) with zeros for ALTs of ``sites`` that no call
+    row mentions; the join runs on the aggregate, not on the calls."""
+    if sites is None:
+        return agg
+    every = split_alleles(sites.select(*[k for k in keys if k != "allele"], "ref", "alt")).select(*keys)
+    return every.join(agg, list(keys), "left").fillna(0, [c for c in agg.columns if c not in keys])
+
+
 def variant_qc(dcalls: DataFrame, n_samples: int, fill_homref: bool = False,
-               keys: tuple[str, ...] = ("vid", "allele")) -> DataFrame:
+               keys: tuple[str, ...] = ("vid", "allele"), sites: DataFrame | None = None) -> DataFrame:
     """Per decomposed variant: AC, AN, AF (ref/alt), n_called, n_not_called,
     call_rate, n_het, n_hom_ref, n_hom_alt, n_hemi.
 
     Absent (sample, variant) pairs count as not called.  With
     ``fill_homref`` every uncalled sample counts as 0/0 (AN grows by two per
-    filled sample) without materialising those rows."""
+    filled sample) without materialising those rows.  ``sites`` adds the
+    sites without any call row."""
     s = allele_stats(dcalls)
     agg = s.groupBy(*keys).agg(
         F.sum(F.when(F.col("k") > 0, 1).otherwise(0)).cast("long").alias("n_called"),
@@ -80,6 +90,7 @@ def variant_qc(dcalls: DataFrame, n_samples: int, fill_homref: bool = False,
         F.sum(F.when((F.col("k") == 2) & (F.col("d") == 0), 1).otherwise(0)).cast("long").alias("n_hom_ref"),
         F.sum(F.when((F.col("k") == 2) & (F.col("d") == 2), 1).otherwise(0)).cast("long").alias("n_hom_alt"),
         F.sum(F.when(F.col("k") == 1, 1).otherwise(0)).cast("long").alias("n_hemi"))
+    agg = _all_alleles(agg, sites, keys)
     n = F.lit(int(n_samples)).cast("long")
     if fill_homref:
         miss = n - F.col("n_called")
@@ -99,12 +110,14 @@ def with_hwe(qc: DataFrame, out: str = "p_hwe") -> DataFrame:
 
 
 def mean_af(dcalls: DataFrame, n_samples: int | None = None,
-            keys: tuple[str, ...] = ("vid", "allele")) -> DataFrame:
+            keys: tuple[str, ...] = ("vid", "allele"), sites: DataFrame | None = None) -> DataFrame:
     """Mean ALT dosage / 2 per variant over called samples; when
-    ``n_samples`` is given, uncalled samples count as 0 (filled hom-ref)."""
+    ``n_samples`` is given, uncalled samples count as 0 (filled hom-ref).
+    ``sites`` adds the sites without any call row (null over no samples)."""
     s = allele_stats(dcalls).where(F.col("k") > 0)
     g = s.groupBy(*keys).agg(F.sum("d").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    denom = F.lit(int(n_samples)) if n_samples is not None else F.col("_n")
+    g = _all_alleles(g, sites, keys)
+    denom = F.lit(int(n_samples)) if n_samples is not None else F.when(F.col("_n") > 0, F.col("_n"))
     return g.select(*keys, (F.col("_s") / denom / 2).alias("mean_af"))
 
 
@@ -129,7 +142,7 @@ def fill_tags(calls: DataFrame, sites: DataFrame, key: str = "vid") -> DataFrame
         F.sum(F.when((F.col("r1") == 0) & (F.col("r2") == 0), 1).otherwise(0)).cast("long").alias("_rr"),
         F.sum(F.when((F.col("r1") + F.col("r2")) == 1, 1).otherwise(0)).cast("long").alias("_ra"),
         F.sum(F.when((F.col("r1") == 1) & (F.col("r2") == 1), 1).otherwise(0)).cast("long").alias("_aa"))
-    out = per_alt.join(site_level, key)
+    out = _all_alleles(per_alt, sites, (key, "allele")).join(site_level, key, "left").fillna(0, ["AN", "NS"])
     af = F.when(F.col("AN") > 0, F.col("AC") / F.col("AN"))
     return (out.withColumns({"AF": af, "MAF": F.least(af, 1 - af),
                              "HWE": hwe_exact_p("_rr", "_ra", "_aa"),

@@ -185,5 +185,6 @@ def genome_sort(df: DataFrame, contig: str = "contig", start: str = "start", end
         key = F.col("_rk")
     else:
         key = natural_contig_rank(contig)
-    cols = [key, F.col(start)] + ([F.col(end)] if end else [])
+    # contigs of equal rank (all beyond the numbered, X, Y and M) go by name
+    cols = [key, F.col(contig), F.col(start)] + ([F.col(end)] if end else [])
     return df.orderBy(*cols).drop("_rk") if rank is not None else df.orderBy(*cols)

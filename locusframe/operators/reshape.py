@@ -46,16 +46,17 @@ def shard_transpose(df: DataFrame, row: str, files: str) -> DataFrame:
     return df.select(row, F.posexplode(files).alias("shard", "file"))
 
 
-def pivot_wide(df: DataFrame, index: list[str], column: str, value: str) -> DataFrame:
+def pivot_wide(df: DataFrame, index: list[str], column: str, value: str, values: list | None = None) -> DataFrame:
     """One column per distinct value of ``column`` (bounded domains only:
-    contigs, labels, statistics)."""
-    return df.groupBy(*index).pivot(column).agg(F.first(value))
+    contigs, labels, statistics).  With ``values`` the columns are fixed, and
+    no extra job looks for them."""
+    return df.groupBy(*index).pivot(column, values).agg(F.first(value))
 
 
-def bounds_table(bounds: DataFrame, label: str, stats: list[str]) -> DataFrame:
+def bounds_table(bounds: DataFrame, label: str, stats: list[str], labels: list[str] | None = None) -> DataFrame:
     """Per-label bound rows -> one row per statistic, one column per label."""
     long = bounds.unpivot([label], stats, "stat", "value").withColumn(label, F.col(label).cast("string"))
-    return pivot_wide(long, ["stat"], label, "value")
+    return pivot_wide(long, ["stat"], label, "value", labels)
 
 
 def explode_list(df: DataFrame, keep: list[str], items: Column, out: str = "item") -> DataFrame:

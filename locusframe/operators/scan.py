@@ -39,7 +39,11 @@ def prefix_scan(df: DataFrame, part: list[str], bucket: list[str], order: list,
     wb = (Window.partitionBy(*part).orderBy(*bucket) if part else Window.orderBy(*bucket)) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_scan_off", agg("_scan_tot").over(wb)).drop("_scan_tot")
-    j = local.join(offsets, part + bucket)
+    # null keys form a group of their own, as in the window
+    keys = part + bucket
+    offsets = offsets.select(*[F.col(c).alias(f"_scan_k{i}") for i, c in enumerate(keys)], "_scan_off")
+    same = [F.col(c).eqNullSafe(F.col(f"_scan_k{i}")) for i, c in enumerate(keys)]
+    j = local.join(offsets, same).drop(*[f"_scan_k{i}" for i in range(len(keys))])
     if how == "sum":
         res = F.coalesce(F.col("_scan_off"), F.lit(0)) + F.coalesce(F.col("_scan_loc"), F.lit(0))
     elif how == "max":

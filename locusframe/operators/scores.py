@@ -15,8 +15,6 @@ def score_match(weights: DataFrame, sites: DataFrame, id_col: str = "rsid") -> D
     is an ALT, -1 when it is neither; ``reason`` = ok / no_id / no_allele."""
     uniq = dedupe_exclude_all(sites.select("vid", id_col, "ref", "alt"), id_col)
     j = weights.join(uniq, id_col, "left")
-    eff = (F.when(F.col("allele") == F.col("ref"), F.lit(0))
-           .otherwise(F.coalesce(F.array_position(F.split("alt", ","), F.col("allele")).cast("int"), F.lit(0))))
     eff = F.when(F.col("allele") == F.col("ref"), F.lit(0)).when(
         F.array_position(F.split("alt", ","), F.col("allele")) > 0,
         F.array_position(F.split("alt", ","), F.col("allele")).cast("int")).otherwise(F.lit(-1))
@@ -28,14 +26,16 @@ def polygenic_score(calls: DataFrame, sites: DataFrame, weights: DataFrame,
                     id_col: str = "rsid") -> tuple[DataFrame, DataFrame]:
     """Per (pgs, sample): score = sum(beta * effect-allele copies) / called
     alleles over matched sites; missing alleles add nothing to either sum.
-    Returns (scores, unmatched score rows with their reason)."""
+    Weights are added as decimals (to the 12th place), so the sum is the same
+    in any order.  Returns (scores, unmatched score rows with their reason)."""
     m = score_match(weights, sites, id_col)
     ok = m.where(F.col("reason") == "ok").select("pgs", "vid", "beta", "eff")
     known = (F.when(F.col("a1").isNotNull(), 1).otherwise(0) + F.when(F.col("a2").isNotNull(), 1).otherwise(0))
     copies = (F.when(F.col("a1") == F.col("eff"), 1).otherwise(0) + F.when(F.col("a2") == F.col("eff"), 1).otherwise(0))
     j = calls.select("vid", "sid", "a1", "a2").join(ok, "vid")
     g = j.groupBy("pgs", "sid").agg(F.sum(known).cast("long").alias("n_alleles"),
-                                    F.sum(F.col("beta") * copies).alias("score_sum"))
+                                    F.sum(F.col("beta").cast("decimal(28,12)") * copies.cast("decimal(1,0)"))
+                                    .cast("double").alias("score_sum"))
     g = g.where(F.col("n_alleles") > 0).withColumn("score", F.col("score_sum") / F.col("n_alleles"))
     report = m.where(F.col("reason") != "ok").select("pgs", id_col, "allele", "reason")
     return g, report

@@ -38,7 +38,7 @@ def filtered_variants(calls: DataFrame, sites: DataFrame, n_samples: int, af_min
     """Biallelic variants passing AF > af_min and HWE p > hwe_min after
     missing -> hom-ref, with MAF for pruning priority."""
     bi = sites.where(~F.col("alt").contains(","))
-    q = C.variant_qc(C.decompose(calls, bi), n_samples, fill_homref=True)
+    q = C.variant_qc(C.decompose(calls, bi), n_samples, fill_homref=True, sites=bi)
     q = C.with_hwe(q).where((F.col("AF_alt") > af_min) & (F.col("p_hwe") > hwe_min))
     return q.select("vid", F.least("AF_alt", 1 - F.col("AF_alt")).alias("maf"))
 
@@ -119,11 +119,14 @@ def ancestry_round_two(spark: SparkSession, calls: DataFrame, sites: DataFrame,
                        r2: float = 0.1) -> DataFrame:
     """Per ancestry label (a driver loop; each label is its own Spark jobs):
     subset samples, filter, prune, PCA, attach the cohort label; results are
-    stacked as (ancestry, sid, PC1..PCk, cohort)."""
+    stacked as (ancestry, sid, PC1..PCk, cohort).  A label with one sample
+    has no components: its sample comes with null PCs."""
     out = None
     for lab in labels:
         s = labelled.where(F.col("ancestry") == lab).select("sid", "cohort")
         if s.limit(2).count() < 2:
+            sc = s.select(*[F.lit(None).cast("double").alias(p) for p in _pcs(k)], "sid", "cohort", F.lit(lab).alias("ancestry"))
+            out = sc if out is None else out.unionByName(sc, allowMissingColumns=True)
             continue
         c = calls.join(s.select("sid"), "sid", "left_semi")
         sidx = LD.sample_index(s)

@@ -1,7 +1,10 @@
-"""Incremental inference: newly landed per-sample genotype files are
-projected onto the reference loadings and classified exactly once each
-(Structured Streaming file source, stream-static join with the loadings,
-``foreachBatch`` append, ``availableNow`` trigger, checkpointed progress)."""
+"""Incremental inference: newly landed genotype files are projected onto the
+reference loadings exactly once each (Structured Streaming file source,
+stream-static join with the loadings, ``foreachBatch``, ``availableNow``
+trigger, checkpointed progress). Each batch leaves the partial sums of its
+samples in a folder of its own number, so a replayed batch replaces what it
+wrote, and a sample may be spread over any files and batches: its sums are
+added before it is classified."""
 
 from __future__ import annotations
 
@@ -18,20 +21,22 @@ ENTRY_SCHEMA = T.StructType([T.StructField("sample", T.StringType()), T.StructFi
 def run_incremental_infer(spark: SparkSession, landing: str, loadings: DataFrame, pcs: list[str], model,
                           out_path: str, checkpoint: str, schema: T.StructType = ENTRY_SCHEMA) -> None:
     """Process every file in ``landing`` not seen before (per the
-    checkpoint) and append (sample, PCs, predicted) rows to ``out_path``.
-    Each landed batch is assumed to hold all genotypes of its samples."""
+    checkpoint) and write (sample, PCs, predicted) of all samples seen so far
+    to ``out_path``; partial sums are kept beside it."""
     m = loadings.count()
+    partial = f"{out_path.rstrip('/')}_partial"
     usable = loadings.where((F.col("af") > 0) & (F.col("af") < 1)).select("variant_id", "af", *pcs)
 
     def project(batch: DataFrame, batch_id: int) -> None:
-        j = batch.where(F.col("dosage").isNotNull()).join(F.broadcast(usable) if m < 5_000_000 else usable,
-                                                         "variant_id")
+        j = batch.where(F.col("dosage").isNotNull()).join(usable, "variant_id")
         norm = (F.col("dosage") - 2 * F.col("af")) / F.sqrt(F.lit(float(m)) * 2 * F.col("af") * (1 - F.col("af")))
         proj = j.groupBy("sample").agg(*[F.sum(F.col(p) * norm).alias(p) for p in pcs])
-        pred = RF.rf_predict(model, proj, "predicted").withColumn("batch_id", F.lit(batch_id))
-        pred.write.mode("append").parquet(out_path)
+        proj.write.mode("overwrite").parquet(f"{partial}/batch_id={batch_id}")
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(landing)
+    stream = spark.readStream.schema(schema).parquet(landing)
     q = (stream.writeStream.foreachBatch(project).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    kinds = "sample string, " + ", ".join(f"{p} double" for p in pcs)
+    sums = spark.read.schema(kinds).parquet(partial).groupBy("sample").agg(*[F.sum(p).alias(p) for p in pcs])
+    RF.rf_predict(model, sums, "predicted").write.mode("overwrite").parquet(out_path)
