@@ -32,6 +32,8 @@ from locusframe.llm.common import body, worker_store
 
 #: Words whose ids are remembered by a Python worker before it starts afresh.
 CACHE_WORDS = 400_000
+#: Rows handed back to Spark at a time.
+OUT_ROWS = 500
 
 
 def byte_letters() -> list[str]:
@@ -156,7 +158,8 @@ def _map(docs: DataFrame, path: str, schema: str, run) -> DataFrame:
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(spec.value)
         for b in it:
-            yield run(bpe, b)
+            for at in range(0, len(b), OUT_ROWS):
+                yield run(bpe, b.iloc[at:at + OUT_ROWS])
 
     return docs.mapInPandas(batches, schema)
 
@@ -181,6 +184,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text."""
-    both = decode(encode(docs, path), path)
+    # one pass: a worker process for each of the two steps would hold the tables and word cache twice
+    def run(bpe: MergeBPE, b: pd.DataFrame) -> pd.DataFrame:
+        ids = [bpe.encode(t) for t in b["text"]]
+        return pd.DataFrame({"doc_id": b["doc_id"], "ids": ids, "decoded": [bpe.decode(i).decode() for i in ids]})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    both = _map(docs.select("doc_id", body().alias("text")), path, f"doc_id {kind}, ids binary, decoded string", run)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
