@@ -3,8 +3,8 @@
 A text is its sequence of words. Each run of ``k`` words holds k - s + 1
 inner runs of ``s`` words; the run is a closed syncmer when the inner run with
 the smallest hash is its first or its last. The choice looks at the k words
-alone, so an edit elsewhere moves no anchor. The fingerprint is the ``size``
-smallest of the anchors' 32-bit hashes. Everything is built-in functions.
+alone, so an edit elsewhere moves no anchor. The fingerprint is the set of all
+anchors' 32-bit hashes. Everything is built-in functions.
 
 Defined results
 * Null text counts as empty. A text without words has an empty fingerprint;
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from locusframe.llm.common import body
 
-K, S, SIZE = 5, 2, 128
+K, S = 5, 2
 SPACE = r"[\x20\x09-\x0D]+"
 LOW32 = 0xFFFFFFFF
 ROWS_PER_BUCKET, QUANTILES = 4096, 1000
@@ -60,22 +60,20 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) ->
     return df.withColumn(out, anchors).drop("_words", "_inner", "_starts", "_chosen")
 
 
-def sketch(anchors: Column, size: int = SIZE) -> Column:
-    """The smallest distinct anchor hashes, ascending."""
-    return F.slice(F.array_sort(F.array_distinct(F.transform(anchors, lambda a: a["hash"]))), 1, size)
+def sketch(anchors: Column) -> Column:
+    """All distinct anchor hashes, ascending."""
+    return F.sort_array(F.array_distinct(F.transform(anchors, lambda a: a["hash"])))
 
 
 def as_string(values: Column) -> Column:
-    return F.array_join(F.transform(values, lambda v: F.lpad(F.lower(F.hex(v)), 8, "0")), "")
+    return F.lower(F.array_join(F.transform(values, lambda v: F.lpad(F.hex(v), 8, "0")), ""))
 
 
-def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
-    """Share of common values among the smallest of both sketches: an
-    estimate of the Jaccard similarity of the anchors, exact while both
-    texts have no more than ``size`` anchors."""
-    joint = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
-    both = F.size(F.array_intersect(F.array_intersect(a, b), joint))
-    return F.when(F.size(joint) == 0, F.lit(1.0)).otherwise(both / F.size(joint))
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard similarity of two sketches."""
+    both = F.size(F.array_intersect(a, b))
+    joint = F.size(a) + F.size(b) - both
+    return F.when(joint == 0, F.lit(1.0)).otherwise(both / joint)
 
 
 def aligned_share(a: Column, b: Column) -> Column:
@@ -123,11 +121,11 @@ def dealt(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     return rows.withColumn("_copy", F.lit(0)).unionByName(copies)
 
 
-def fingerprints(docs: DataFrame, k: int = K, s: int = S, size: int = SIZE,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int = K, s: int = S, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Per document: doc_id, text, ``sketch``; and ``next`` (text, sketch) of
     the next row in descending doc_id order, after the last row the first."""
-    rows = with_anchors(dealt(docs, rows_per_bucket), "text", "_a", k, s).withColumn("sketch", sketch(F.col("_a"), size))
+    rows = dealt(docs, rows_per_bucket).repartition("_bucket")  # texts alone are shuffled, sketches are not
+    rows = with_anchors(rows, "text", "_a", k, s).withColumn("sketch", sketch(F.col("_a")))
     w = Window.partitionBy("_bucket").orderBy("_copy", F.desc("doc_id"), "text")
     nxt = F.struct(F.lead("text").over(w).alias("text"), F.lead("sketch").over(w).alias("sketch"))
     return rows.drop("_a").withColumn("next", nxt).filter("_copy = 0").drop("_bucket", "_copy")

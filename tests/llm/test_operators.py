@@ -237,6 +237,25 @@ def test_syncmers(spark, rows_per_bucket):
     assert one["near_next"] == 1.0
 
 
+def test_syncmers_cover_long_texts(spark):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(4000)]
+    few = list(words)
+    for at in (100, 900, 1700, 2500, 3300):
+        few[at] = "changed"
+    shared = [f"v{rng.randrange(10**9)}" for _ in range(4000)]
+    shared[1000:1040] = words[1000:1040]
+    texts = [" ".join(x) for x in (words, few, shared)]
+    got = syncmers.compare_edits(frame(spark, texts, [3, 2, 1])).orderBy(F.desc("doc_id")).collect()
+    anchors = [{f"{a['hash']:08x}" for a in r["a"]} for r in
+               syncmers.with_anchors(frame(spark, texts, [3, 2, 1]), "text", "a").orderBy(F.desc("doc_id")).collect()]
+    for i, r in enumerate(got):
+        nxt = anchors[(i + 1) % 3]
+        assert r["fingerprint"] == "".join(sorted(anchors[i])) and len(anchors[i]) > 1000
+        assert r["near_next"] == len(anchors[i] & nxt) / len(anchors[i] | nxt)
+    assert 0.98 < got[0]["near_next"] < 1 and 0 < got[1]["near_next"] < 0.05 and 0 < got[2]["near_next"] < 0.05
+
+
 def test_closed_syncmers_by_hand(spark):
     words = "a b c d e f g h a b c d e x y z".split()
     df = spark.createDataFrame([(" ".join(words),)], "text string")
