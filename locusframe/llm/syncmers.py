@@ -1,7 +1,9 @@
 """Document fingerprints from closed syncmers.
 
-A text is its sequence of words. Each run of ``k`` words holds k - s + 1
-inner runs of ``s`` words; the run is a closed syncmer when the inner run with
+A text is its sequence of words; a word of more than ``LONG`` code points
+(prose without blanks, base64, minified lines) stands for all its pieces of
+``PIECE`` code points, one from each place. Each run of ``k`` words holds k - s + 1
+inner runs of ``s``; the run is a closed syncmer when the inner run with
 the smallest hash is its first or its last. The choice looks at the k words
 alone, so an edit elsewhere moves no anchor. The fingerprint is the set of all
 anchors' 32-bit hashes. Everything is built-in functions.
@@ -9,8 +11,9 @@ anchors' 32-bit hashes. Everything is built-in functions.
 Defined results
 * Null text counts as empty. A text without words has an empty fingerprint;
   two empty fingerprints are alike (1.0), an empty and another are not (0.0).
-* A text shorter than k words is one anchor; a text with k words or more but
-  no syncmer is represented by its k-word run of smallest hash.
+* A text of fewer than k words and pieces is one anchor, so it has at most
+  (k - 1) * LONG code points besides blanks; a text with k or more but no
+  syncmer is represented by its k-run of smallest hash.
 * Repeated doc_ids follow each other by text; null doc_ids come last. A single
   row is its own next document. Extra columns are not read.
 """
@@ -23,11 +26,25 @@ from pyspark.sql import functions as F
 from locusframe.llm.common import body
 
 K, S = 5, 2
+LONG, PIECE = 24, 4
 SPACE = r"[\x20\x09-\x0D]+"
 LOW32 = 0xFFFFFFFF
 ROWS_PER_BUCKET, QUANTILES = 4096, 1000
 
 
+def _words(text: Column) -> Column:
+    """Hashes of the words of a text, a long word cut into pieces."""
+    words = F.array_remove(F.split(text, SPACE, -1), "")
+
+    def pieces(w: Column) -> Column:
+        points = F.array(F.transform(F.split(w, "", -1), lambda c: F.xxhash64(c)))  # bound once by the next lambda
+        return F.get(F.transform(points, lambda p: F.transform(
+            F.sequence(F.lit(0), F.size(p) - PIECE), lambda i: F.xxhash64(*[F.get(p, i + j) for j in range(PIECE)]))), F.lit(0))
+
+    cut = F.flatten(F.transform(words, lambda w: F.when(F.char_length(w) > LONG, pieces(w)).otherwise(F.array(F.xxhash64(w)))))
+    return F.when(F.rlike(text, F.lit(rf"[^\x20\x09-\x0D]{{{LONG + 1}}}")), cut).otherwise(F.transform(words, lambda w: F.xxhash64(w)))
+
+
 def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
     """Adds ``out``: array<struct<pos, hash>>, anchors in text order."""
     def at(c: str, i: Column, j: int) -> Column:
@@ -50,7 +67,7 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) ->
                      .bitwiseAND(F.lit(LOW32)).alias("hash"))
     chosen = F.transform("_chosen", anchor)
     lowest = F.array_min(F.transform(F.transform("_starts", anchor), lambda a: F.struct(a["hash"], a["pos"])))
-    df = df.withColumn("_words", F.transform(F.array_remove(F.split(F.col(text), SPACE, -1), ""), lambda w: F.xxhash64(w)))
+    df = df.withColumn("_words", _words(F.col(text)))
     df = df.withColumn("_inner", F.when(n >= k, F.transform(
         F.sequence(F.lit(0), n - s), lambda i: F.xxhash64(*[at("_words", i, j) for j in range(s)]))))
     df = df.withColumn("_starts", starts).withColumn("_chosen", F.filter("_starts", closed))

@@ -256,6 +256,21 @@ def test_syncmers_cover_long_texts(spark):
     assert 0.98 < got[0]["near_next"] < 1 and 0 < got[1]["near_next"] < 0.05 and 0 < got[2]["near_next"] < 0.05
 
 
+def test_syncmers_without_blanks(spark):
+    rng = random.Random(10)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(1500))
+    wide = "".join(chr(rng.randrange(0x20000, 0x20200)) for _ in range(600))  # two UTF-16 units each
+    base = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1500))
+    for text in (han, wide, base, "x = 1; " + base):
+        edit = text[:400] + "?!" + text[401:]
+        got = syncmers.compare_edits(frame(spark, [text, edit, base[::-1]], [3, 2, 1])).orderBy(F.desc("doc_id")).collect()
+        assert 0.9 < got[0]["near_next"] < 1 and got[1]["near_next"] < 0.01
+        assert 0.2 < got[0]["near_edited"]
+    edge = ["a" * 24, "a" * 25]
+    rows = syncmers.with_anchors(frame(spark, [edge[0], edge[1], f"b {edge[1]}"], [1, 2, 3]), "text", "a").orderBy("doc_id").collect()
+    assert [len(r["a"]) for r in rows] == [1, 18, 18 + (rows[2]["a"][0]["pos"] == 0)]
+
+
 def test_closed_syncmers_by_hand(spark):
     words = "a b c d e f g h a b c d e x y z".split()
     df = spark.createDataFrame([(" ".join(words),)], "text string")
