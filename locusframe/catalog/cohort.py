@@ -18,7 +18,7 @@ from locusframe.plans import ancestry as PL
 
 AF_MIN = 0.0075  # meaningful at every fixture scale (FIXTURES caveat 1)
 K = 10
-RF_DEPTH = 10
+EMB = 64  # entries of an embedding
 
 
 def _filtered_arrays(f):
@@ -66,7 +66,7 @@ def _reference(f):
     if "reference" not in f.extra:
         samples = f.fx_sample.select("sid", "population")
         f.extra["reference"] = PL.build_reference(f.spark, parsed_calls(f), f.fx_site, samples, k=K,
-                                                  af_min=AF_MIN, max_depth=RF_DEPTH, pca=_pca(f))
+                                                  af_min=AF_MIN, pca=_pca(f))
     return f.extra["reference"]
 
 
@@ -103,12 +103,12 @@ def q_infer_samples(spark, sf_dir):
 def _emb(f):
     e = f.embeddings
     pcs = RF.pc_columns(e.select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("s")),
-                        "s", K).drop("s")
+                        "s", EMB).drop("s")
     cohort = F.when(F.col("label") == 9, "case").when(F.col("label") == 8, "control").otherwise("reference")
     return pcs.withColumns({"population": F.col("label").cast("string"), "cohort": cohort})
 
 
-PCS = [f"PC{i}" for i in range(1, K + 1)]
+PCS = [f"PC{i}" for i in range(1, EMB + 1)]
 
 
 @register("train_test_by_cohort", """
@@ -122,7 +122,7 @@ def q_train_test_by_cohort(spark, sf_dir):
 def _model(f):
     if "emb_model" not in f.extra:
         tr = _emb(f).where(F.col("cohort") == "reference")
-        f.extra["emb_model"] = RF.rf_train(tr, PCS, "population", max_depth=RF_DEPTH)
+        f.extra["emb_model"] = RF.rf_train(tr, PCS, "population")
     return f.extra["emb_model"]
 
 
@@ -143,7 +143,7 @@ def q_rf_predict(spark, sf_dir):
 @register("rf_cross_validate")
 def q_rf_cross_validate(spark, sf_dir):
     tr = _emb(fx(spark, sf_dir)).where(F.col("cohort") == "reference")
-    acc = RF.rf_cross_validate(tr, PCS, "population", "vec_id", k=5, n_trees=20, max_depth=RF_DEPTH)
+    acc = RF.rf_cross_validate(tr, PCS, "population", "vec_id", k=5)
     return spark.createDataFrame([(i, a) for i, a in enumerate(acc)], "fold int, accuracy double")
 
 
@@ -153,7 +153,7 @@ def q_ancestry_round_two(spark, sf_dir):
     lab = _clinical(f).select("sid", F.col("population").alias("ancestry"),
                                F.coalesce("cohort", F.lit("reference")).alias("cohort"))
     labels = [r[0] for r in lab.select("ancestry").distinct().orderBy("ancestry").collect()]
-    return rounded(PL.ancestry_round_two(spark, parsed_calls(f), f.fx_site, lab, labels, k=2, af_min=AF_MIN))
+    return rounded(PL.ancestry_round_two(spark, parsed_calls(f), f.fx_site, lab, labels, k=K, af_min=AF_MIN))
 
 
 @register("final_lists", "WITH " + SQL_CLIN + """

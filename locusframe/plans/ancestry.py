@@ -119,8 +119,8 @@ def ancestry_round_two(spark: SparkSession, calls: DataFrame, sites: DataFrame,
                        r2: float = 0.1) -> DataFrame:
     """Per ancestry label (a driver loop; each label is its own Spark jobs):
     subset samples, filter, prune, PCA, attach the cohort label; results are
-    stacked as (ancestry, sid, PC1..PCk, cohort).  A label with one sample
-    has no components: its sample comes with null PCs."""
+    stacked as (ancestry, sid, PC1..PCk, cohort).  A label of n samples
+    has n - 1 components at most; the PCs beyond are null."""
     out = None
     for lab in labels:
         s = labelled.where(F.col("ancestry") == lab).select("sid", "cohort")
@@ -138,6 +138,7 @@ def ancestry_round_two(spark: SparkSession, calls: DataFrame, sites: DataFrame,
         kk = min(k, n - 1)
         _, scores, _ = PCA.pca_hwe(norm, kk)
         sc = PCA.scores_frame(spark, scores, sidx, kk).join(s, "sid").withColumn("ancestry", F.lit(lab))
+        sc = sc.withColumns({p: F.lit(None).cast("double") for p in _pcs(k)[kk:]})
         out = sc if out is None else out.unionByName(sc, allowMissingColumns=True)
     return out
 

@@ -2,12 +2,14 @@
 several VCF headers, samples spread over stream files."""
 
 import pytest
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from locusframe.operators import calls as C
 from locusframe.operators import intervals as IV
 from locusframe.operators.filters import variants_to_table
 from locusframe.operators.scan import row_index
+from locusframe.plans import ancestry as PL
 from locusframe.sources.vcf import read_vcf
 
 CALLS = "vid bigint, sid bigint, a1 int, a2 int, ploidy int"
@@ -71,3 +73,38 @@ def test_sample_spread_over_stream_files(spark, tmp_path, monkeypatch):
     half = land(range(3))
     whole = land(range(3, 6))
     assert set(whole) == {"a", "b"} and all(whole[s] == pytest.approx(2 * half[s]) for s in whole)
+
+
+def test_forests_and_round_two_at_full_size(spark, registry, monkeypatch):
+    from locusframe.catalog import cohort as CO
+    asked = {}
+
+    def cross(df, features, label, key, k=5, **kw):
+        asked["cross"] = (features, kw)
+        return [1.0] * k
+
+    def two(spark, calls, sites, labelled, labels, k=2, **kw):
+        asked["k"] = k
+        return labelled.select(F.lit(0.0).alias("PC1"))
+
+    monkeypatch.setattr(CO.RF, "rf_cross_validate", cross)
+    monkeypatch.setattr(CO.PL, "ancestry_round_two", two)
+    registry["rf_cross_validate"].run(spark, SF_SMALL)
+    registry["ancestry_round_two"].run(spark, SF_SMALL)
+    f = CO.fx(spark, SF_SMALL)
+    forest = CO._model(f).stages[-1]
+    width = len(f.embeddings.first()["embedding"])
+    assert len(asked["cross"][0]) == forest.numFeatures == width == 64 and asked["cross"][1] == {}
+    assert forest.getNumTrees == CO.RF.N_TREES == 100 and forest.getOrDefault("maxDepth") == 30
+    assert asked["k"] == 10
+
+
+def test_round_two_fills_missing_components(spark):
+    sites = spark.createDataFrame([(i, "chr1", 1 + 2_000_000 * i, "A", "C", f"r{i}") for i in range(4)],
+                                  "vid long, contig string, pos long, ref string, alt string, rsid string")
+    gts = [(0, 1), (1, 1), (0, 0), (0, 1), (1, 1), (0, 1), (0, 0), (0, 1), (0, 1), (0, 0), (0, 1), (0, 1)]
+    calls = spark.createDataFrame([(i // 3, i % 3, *g, 2) for i, g in enumerate(gts)], CALLS)
+    lab = spark.createDataFrame([(i, "X", "case") for i in range(3)], "sid long, ancestry string, cohort string")
+    out = PL.ancestry_round_two(spark, calls, sites, lab, ["X"], k=5)
+    assert {f"PC{i}" for i in range(1, 6)} <= set(out.columns)
+    assert all(r["PC1"] is not None and r["PC3"] is None and r["PC5"] is None for r in out.collect())
