@@ -194,6 +194,18 @@ def q_overlap_join(spark, sf_dir):
     return p.select(F.col("contig_a").alias("contig"), "start_a", "end_a", "start_b", "end_b")
 
 
+@register("overlap_join_blocks", """
+SELECT i.contig, i.name, i.start_pos AS start_a, i.end_pos AS end_a, b.block_start AS start_b, b.block_end AS end_b
+FROM fx_interval i JOIN fx_block b ON i.contig = b.src AND i.start_pos < b.block_end AND b.block_start < i.end_pos""")
+def q_overlap_join_blocks(spark, sf_dir):
+    """All classes of fx_interval; ``overlap_join`` has two of them, as its SQL says."""
+    f = fx(spark, sf_dir)
+    a = f.fx_interval.select("contig", F.col("start_pos").alias("start"), F.col("end_pos").alias("end"), "name")
+    b = f.fx_block.select(F.col("src").alias("contig"), F.col("block_start").alias("start"), F.col("block_end").alias("end"))
+    p = IV.overlap_pairs(a, b, width=10_000)
+    return p.select(F.col("contig_a").alias("contig"), F.col("name_a").alias("name"), "start_a", "end_a", "start_b", "end_b")
+
+
 @register("paste_columns", """
 SELECT l.idx, l.vid, l.contig, r.rsid, r.ref FROM
  (SELECT row_number() OVER (ORDER BY vid) - 1 AS idx, vid, contig FROM fx_site) l JOIN

@@ -108,3 +108,9 @@ def test_round_two_fills_missing_components(spark):
     out = PL.ancestry_round_two(spark, calls, sites, lab, ["X"], k=5)
     assert {f"PC{i}" for i in range(1, 6)} <= set(out.columns)
     assert all(r["PC1"] is not None and r["PC3"] is None and r["PC5"] is None for r in out.collect())
+
+
+def test_overlaps_of_all_interval_classes(spark, registry):
+    out = registry["overlap_join_blocks"].run(spark, SF_SMALL)
+    names = {r["name"] for r in out.select("name").distinct().collect()}
+    assert names == {"1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"}
