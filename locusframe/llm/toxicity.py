@@ -71,23 +71,29 @@ def word_scores(buf: np.ndarray, words: int, weight: np.ndarray) -> np.ndarray:
     return total / np.maximum(count, 1)
 
 
-def _spans(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start of each span of SPAN words (the last of a text may be shorter),
-    and the first span of each text that has words."""
-    per = -(-sizes // SPAN)
+def _spans(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length of each span: every run of SPAN words, or the whole of
+    a shorter text; and the first span of each text that has words."""
+    per = np.where(sizes > 0, np.maximum(sizes - SPAN + 1, 1), 0)
     first = np.cumsum(sizes) - sizes
-    number = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-    return np.repeat(first, per) + number * SPAN, (np.cumsum(per) - per)[sizes > 0]
+    return (np.repeat(first, per) + _ramp(per), np.repeat(np.minimum(sizes, SPAN), per),
+            (np.cumsum(per) - per)[sizes > 0])
+
+
+def _means(scores: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Mean of each span; a running sum would round by a word's place in the buffer."""
+    total = np.zeros(len(start))
+    for i in range(SPAN):
+        total += np.where(i < length, scores[np.minimum(start + i, len(scores) - 1)], 0)
+    return total / length
 
 
 def most_toxic(scores: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Per text the largest span mean; 0 for a text without words."""
     out = np.zeros(len(sizes))
     if len(scores):
-        start, text = _spans(sizes)
-        length = np.diff(np.append(start, len(scores)))
-        mean = np.add.reduceat(scores, start) / length
-        out[sizes > 0] = np.maximum.reduceat(mean, text)
+        start, length, text = _spans(sizes)
+        out[sizes > 0] = np.maximum.reduceat(_means(scores, start, length), text)
     return out
 
 
@@ -137,8 +143,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     soft[0] += (-0.5, 0.5)
     bias = np.zeros(2)
     sums = [np.full(a.shape, 1e-6) for a in (emb, soft, bias)]
-    start, text = _spans(sizes)
-    length = np.diff(np.append(start, len(code)))
+    start, length, text = _spans(sizes)
     some = sizes > 0
     # n-grams in order of their word, to cut out a span's quickly
     h = np.concatenate([np.zeros(0, np.int32), *(x.astype(np.int32) for x, _ in grams)])
@@ -154,7 +159,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
         weight = emb @ (soft[:, 1] - soft[:, 0])
         run = np.concatenate(([0.0], np.cumsum(weight[h])))
         score = ((run[begin + count] - run[begin]) / np.maximum(count, 1))[code]
-        mean = np.add.reduceat(score, start) / length
+        mean = _means(score, start, length)
         top = np.maximum.reduceat(mean, text)
         owner = np.repeat(np.arange(len(text)), np.diff(np.append(text, len(mean))))
         hit = np.flatnonzero(mean == top[owner])

@@ -118,6 +118,18 @@ def test_toxicity():
     assert toxicity.train([], np.zeros(0)).score(["x"])[0] < 0.5
 
 
+def test_toxicity_scores_every_span():
+    rng = np.random.default_rng(3)
+    lists = [rng.normal(size=n) for n in (0, 1, 3, 4, 5, 9, 0, 40)]
+    want = [max((x[i:i + 4].mean() for i in range(max(1, len(x) - 3))), default=0) if len(x) else 0 for x in lists]
+    got = toxicity.most_toxic(np.concatenate(lists), np.array([len(x) for x in lists]))
+    assert np.allclose(got, want)
+    for front in range(4):  # two neighbours count alike wherever they stand
+        x = np.zeros(12)
+        x[front + 2:front + 4] = 1
+        assert toxicity.most_toxic(x, np.array([12]))[0] == 0.5
+
+
 def test_toxicity_query_edges(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1)], "doc_id bigint, toxic int")
     out = toxicity.classify(frame(spark), labels).collect()
