@@ -11,6 +11,7 @@ from locusframe.llm import bpe as B
 from locusframe.llm import chat_format as C
 from locusframe.llm import exact_dedup as D
 from locusframe.llm import importance as I
+from locusframe.llm import line_dedup as L
 from locusframe.llm import packing as P
 from locusframe.llm import simhash as H
 from locusframe.llm import suffix_dedup as S
@@ -99,6 +100,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
@@ -110,6 +116,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_syncmers": op9_syncmers,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_line_dedup": op11_line_dedup,
 }
 
 ORACLES = {
@@ -129,6 +136,18 @@ ORACLES = {
                CAST(sum(length('<|im_start|>') + length(safe_role) + 1 + length(safe) + length('<|im_end|>') + 1) AS BIGINT)
                  AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op11_line_dedup": """
+        WITH l AS (
+          SELECT doc_id, line, pos,
+                 translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS pos
+                FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents) d) e),
+        k AS (SELECT key, min(doc_id) AS first FROM l WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+        m AS (SELECT l.*, k.first IS NOT NULL AND k.first <> l.doc_id AS gone FROM l LEFT JOIN k ON l.key = k.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id""",
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
