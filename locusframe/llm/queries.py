@@ -12,6 +12,7 @@ from locusframe.llm import chat_format as C
 from locusframe.llm import exact_dedup as D
 from locusframe.llm import importance as I
 from locusframe.llm import line_dedup as L
+from locusframe.llm import merkle as M
 from locusframe.llm import packing as P
 from locusframe.llm import simhash as H
 from locusframe.llm import suffix_dedup as S
@@ -105,6 +106,12 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    alter = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return M.manifest(M.leaves(docs, alter, F.replace("text", F.lit("\n"), F.lit(""))))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
@@ -117,9 +124,72 @@ QUERIES = {
     "op9_syncmers": op9_syncmers,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_line_dedup": op11_line_dedup,
+    "op12_merkle": op12_merkle,
 }
 
+def _sql_crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes in SQL: a fold over its bytes, and over the bits of each."""
+    octets = (f"list_transform(range(octet_length(encode({text}))), "
+              f"lambda i: CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS INTEGER), 2) AS UBIGINT))")
+    step = ("list_reduce(list_prepend(xor(a, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS UBIGINT[])), "
+            "lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, CAST(3988292384 AS UBIGINT)) ELSE x >> 1 END)")
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {octets}), lambda a, b: {step}), "
+            "CAST(4294967295 AS UBIGINT))")
+
+
+def _sql_leaf(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(
+        f"coalesce(octet_length(encode(CAST({f} AS VARCHAR))) || ':' || {f}, '-')" for f in fields) + ")"
+
+
 ORACLES = {
+    "op12_merkle": f"""
+        WITH RECURSIVE leaf AS (
+          SELECT doc_id, source, {_sql_leaf("text")} AS h,
+                 CASE WHEN {_sql_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0
+                      THEN {_sql_leaf("replace(text, chr(10), '')")} ELSE {_sql_leaf("text")} END AS tampered,
+                 row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+          FROM documents),
+        low(source, level, idx, n, h) AS (
+          SELECT source, 0, idx, n, h FROM leaf
+          UNION ALL
+          SELECT source, any_value(level) + 1, idx // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+          FROM low WHERE n > 1 GROUP BY source, idx // 3),
+        sub AS (
+          SELECT source, h, level, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+          FROM low WHERE n = 1),
+        high(level, idx, n, h) AS (
+          SELECT 0, idx, n, h FROM sub
+          UNION ALL
+          SELECT any_value(level) + 1, idx // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+          FROM high WHERE n > 1 GROUP BY idx // 3),
+        all_nodes AS (
+          SELECT source, level, idx, n, h, false AS upper FROM low UNION ALL SELECT NULL, level, idx, n, h, true FROM high),
+        sibs AS (
+          SELECT a.source, a.level, a.idx, a.upper,
+                 coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS lefts,
+                 coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS rights
+          FROM all_nodes a JOIN all_nodes b ON a.upper = b.upper AND a.source IS NOT DISTINCT FROM b.source
+            AND a.level = b.level AND a.idx // 3 = b.idx // 3 AND a.n > 1
+          GROUP BY a.source, a.level, a.idx, a.upper),
+        up(doc_id, source, upper, level, idx, h, proof) AS (
+          SELECT doc_id, source, false, 0, idx, tampered, '' FROM leaf
+          UNION ALL
+          SELECT u.doc_id, u.source, coalesce(s.upper, true), CASE WHEN s.idx IS NULL THEN 0 ELSE u.level + 1 END,
+                 CASE WHEN s.idx IS NULL THEN sub.idx ELSE u.idx // 3 END,
+                 CASE WHEN s.idx IS NULL THEN u.h ELSE sha256(s.lefts || u.h || s.rights) END,
+                 u.proof || coalesce(s.lefts || s.rights, '')
+          FROM up u LEFT JOIN sibs s ON u.upper = s.upper AND (u.upper OR u.source IS NOT DISTINCT FROM s.source)
+            AND u.level = s.level AND u.idx = s.idx
+          LEFT JOIN sub ON NOT u.upper AND u.source IS NOT DISTINCT FROM sub.source
+          WHERE s.idx IS NOT NULL OR NOT u.upper),
+        top AS (SELECT h AS root, level FROM high WHERE n = 1)
+        SELECT leaf.doc_id, leaf.h AS leaf, sub.h AS subroot, root, sha256(up.proof) AS proof_sha256,
+               up.h AS folded_root, up.h = root AS verified
+        FROM leaf JOIN sub ON leaf.source IS NOT DISTINCT FROM sub.source
+        JOIN up ON up.doc_id = leaf.doc_id AND up.upper
+        JOIN top ON up.level = top.level""",
     "op2_chat_format": r"""
         WITH x AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
