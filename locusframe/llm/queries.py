@@ -15,6 +15,7 @@ from locusframe.llm import line_dedup as L
 from locusframe.llm import merkle as M
 from locusframe.llm import packing as P
 from locusframe.llm import simhash as H
+from locusframe.llm import spelling as W
 from locusframe.llm import suffix_dedup as S
 from locusframe.llm import syncmers as Y
 from locusframe.llm import token_files as T
@@ -112,6 +113,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.manifest(M.leaves(docs, alter, F.replace("text", F.lit("\n"), F.lit(""))))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
@@ -125,6 +130,7 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_line_dedup": op11_line_dedup,
     "op12_merkle": op12_merkle,
+    "op13_spelling": op13_spelling,
 }
 
 def _sql_crc32(text: str) -> str:
@@ -144,6 +150,35 @@ def _sql_leaf(text: str) -> str:
 
 
 ORACLES = {
+    "op13_spelling": f"""
+        WITH RECURSIVE runs AS (
+          SELECT doc_id, run, count(*) AS n FROM (
+            SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents) x
+          GROUP BY doc_id, run),
+        summed AS (SELECT run, n, {_sql_crc32("doc_id || ':' || run")} AS h FROM runs),
+        w AS (
+          SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+            SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER))
+                                                || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word FROM summed) x
+          WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        less AS (
+          SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+          FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w) x),
+        near AS (
+          SELECT a.word, a.n, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+          UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN w b ON a.rest = b.word
+          UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN w b ON a.rest = b.word),
+        best AS (
+          SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, encode(other)) AS other, max(m) AS m FROM near GROUP BY word),
+        f AS (
+          SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * w.n THEN other END AS form,
+                 CASE WHEN m >= 10 * w.n THEN m END AS form_n
+          FROM w LEFT JOIN best ON w.word = best.word),
+        chain(word, root, form) AS (
+          SELECT word, word, form FROM f
+          UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN f ON c.form = f.word)
+        SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM f JOIN chain c ON f.word = c.word AND c.form IS NULL""",
     "op12_merkle": f"""
         WITH RECURSIVE leaf AS (
           SELECT doc_id, source, {_sql_leaf("text")} AS h,
