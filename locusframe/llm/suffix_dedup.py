@@ -1,24 +1,24 @@
-"""Duplicate passages by a logarithmic family of sparse suffix arrays.
+"""Duplicate passages by a sparse, hash-ordered index of suffixes.
 
 A byte goes when a string of ``length`` bytes that covers it also starts in a
 document with a smaller doc_id. Documents are gathered into batches. A batch
-gets a suffix array over chosen suffixes: in every window of ``length`` bytes
+gets an array over chosen suffixes: in every window of ``length`` bytes
 the k-byte word with the smallest hash is an anchor, so equal windows choose
 the same anchor at the same place, and a run of windows with one anchor is one
 entry. Entries are sorted by the hash of the word the suffix starts with; for
 finding equal windows any fixed order of the words serves as well as the
-alphabetical one, and hashes split evenly.
+alphabetical one, and mixed hashes split evenly.
 
-The arrays are dealt by ranges of that order. A range takes one batch's array
-after another: each enters as a level of its own, and levels of equal size
-merge geometrically. Every array is then merge-scanned against the levels:
+The arrays are dealt by ranges of that order, and the arrays of all batches
+are merged within a range:
 * an entry whose whole run also starts in an earlier document is covered;
 * an entry whose word is met in another document with another run may match in
-  part: its windows are compared one by one, in a second family of the same
+  part: its windows are compared one by one, in a second index of the same
   kind keyed by window;
 * other entries match nothing.
-Within a batch all this is settled before anything is sent, so a word or
-window held by any number of documents sends a batch's first document only.
+Runs and windows count as equal by 96 bits of hashes. Within a batch all this
+is settled before anything is sent, so a word or window held by any number of
+documents sends a batch's first document only.
 
 Defined results
 * Null text counts as empty; texts under ``length`` bytes lose nothing.
@@ -45,7 +45,7 @@ from locusframe.session import scratch_path
 LENGTH, WORD = 50, 20
 #: Rows above half a heap region (512 KB) would be allocated one by one, and fragment an executor's heap.
 BATCH_BYTES = 384 << 10
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 16 << 20
 #: Rows hold whole batches: they go to Python a few at a time.
 ONE_ROW = {"spark__sql__execution__arrow__maxRecordsPerBatch": "16"}
 DOCS_AT_ONCE = 500
@@ -104,9 +104,9 @@ def _eights(buf: np.ndarray) -> np.ndarray:
     return out
 
 
-def _hash_at(eights: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+def _hash_at(eights: np.ndarray, at: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Hash of the ``length`` bytes from each of the places ``at`` on."""
-    out = np.full(len(at), length, U)
+    out = np.full(len(at), length + (seed << 32), U)
     for o in (*range(0, length - 8, 8), length - 8):
         out = mixed((out ^ eights[at + o]) + ODD)
     return out
@@ -132,6 +132,7 @@ class Entries:
         s = (mixed(first ^ mixed(last + U(1)) ^ (n.astype(U) * ODD)) >> U(32)).astype(np.uint32)
         s[s == 0] = 1  # 0 marks a word with several runs
         doc = ids[np.searchsorted(ends, at, "right")]
+        h = mixed(h)  # anchors are the smallest hashes of their windows: mixed once more they deal evenly
         order = np.argsort(h, kind="stable")
         hs = h[order]
         twice = np.zeros(len(hs), bool)
@@ -229,49 +230,48 @@ def _slices(h: np.ndarray, count: int):
         yield int(part[a]), a, b
 
 
-class Family:
-    """Levels of sorted keys with figures that combine by minimum (maxima are
-    kept negated). A new level merges with the last while that is no larger."""
-
-    def __init__(self):
-        self.levels: list[tuple[np.ndarray, ...]] = []
-
-    @staticmethod
-    def level(key: np.ndarray, *figures: np.ndarray) -> tuple[np.ndarray, ...]:
-        if not len(key):
-            return (key, *figures)
-        order = np.argsort(key, kind="stable")  # two sorted runs: a merge
-        key = key[order]
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        return (key[first], *(np.minimum.reduceat(f[order], first) for f in figures))
-
-    def add(self, key: np.ndarray, *figures: np.ndarray) -> None:
-        new = self.level(key, *figures)
-        while self.levels and len(self.levels[-1][0]) <= len(new[0]):
-            old = self.levels.pop()
-            new = self.level(*(np.concatenate(x) for x in zip(old, new, strict=True)))
-        self.levels.append(new)
-
-    def scan(self, key: np.ndarray) -> list[np.ndarray]:
-        """The figures of each key over all levels; absent: the largest."""
-        out: list[np.ndarray] = []
-        for level_key, *figures in self.levels:
-            if not len(level_key):
-                continue
-            at = np.minimum(np.searchsorted(level_key, key), len(level_key) - 1)
-            hit = level_key[at] == key
-            for i, f in enumerate(figures):
-                top = np.iinfo(f.dtype).max
-                got = np.where(hit, f[at], top)
-                if i < len(out):
-                    out[i] = np.minimum(out[i], got)
-                else:
-                    out.append(got)
+class Merged:
+    """Sorted runs of one range merged into one, by hash and check together:
+    96 bits say that two strings are equal. ``groups`` numbers equal hashes,
+    ``equals`` equal pairs, in the merged order; ``place`` leads back."""
+
+    def __init__(self, h: np.ndarray, check: np.ndarray):
+        order = np.argsort(h, kind="stable")  # sorted runs: a merge
+        hs = h[order]
+        twice = np.zeros(len(hs), bool)
+        twice[1:] = hs[1:] == hs[:-1]
+        twice[:-1] |= twice[1:]
+        some = order[twice]
+        order[twice] = some[np.lexsort((check[some], h[some]))]
+        c = check[order]
+        none = np.zeros(0, bool)
+        new = np.concatenate(([True], hs[1:] != hs[:-1])) if len(h) else none
+        other = new | np.concatenate(([True], c[1:] != c[:-1])) if len(h) else none
+        self.order, self.hash_at, self.pair_at = order, np.flatnonzero(new), np.flatnonzero(other)
+        self.groups, self.equals = np.cumsum(new) - 1, np.cumsum(other) - 1
+
+    def back(self, values: np.ndarray) -> np.ndarray:
+        """Values of the merged order in the order of the input."""
+        out = np.empty_like(values)
+        out[self.order] = values
         return out
 
+    def least(self, values: np.ndarray) -> np.ndarray:
+        """The smallest value of each element's pair."""
+        if not len(values):
+            return values
+        return self.back(np.minimum.reduceat(values[self.order], self.pair_at)[self.equals])
+
+    def spread(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The smallest and the largest value of each element's hash."""
+        if not len(values):
+            return values, values
+        v = values[self.order]
+        return tuple(self.back(f.reduceat(v, self.hash_at)[self.groups]) for f in (np.minimum, np.maximum))
+
 
-def _entry_key(h: np.ndarray, s: np.ndarray) -> np.ndarray:
-    return mixed(h ^ mixed(s.astype(U) + ODD))
+def _joined(sent: list[tuple[np.ndarray, ...]], kinds: tuple) -> tuple[np.ndarray, ...]:
+    return tuple(np.concatenate([np.zeros(0, k), *x]) for k, x in zip(kinds, zip(*sent, strict=True) if sent else [()] * len(kinds), strict=True))
 
 
 def _dealt(rows: DataFrame, work, schema: str) -> DataFrame:
@@ -282,31 +282,26 @@ def _judge_entries(pdf: pd.DataFrame) -> pd.DataFrame:
     """One range of the order: per batch the verdict on each entry it sent
     (1 covered, 2 compare windows, 0 neither)."""
     fresh_worker()
-    words, runs = Family(), Family()
     sent = [_unpack(raw, np.uint32) for raw in pdf["payload"]]
-    for h, doc, s in sent:
-        words.add(h, doc, -doc, s, ~s)
-        real = s > 0
-        runs.add(_entry_key(h[real], s[real]), doc[real])
-    out = []
-    for h, doc, s in sent:
-        low, high, low_s, high_s = words.scan(h)
-        first = runs.scan(_entry_key(h, s))
-        covered = (first[0] < doc) & (s > 0) if first else np.zeros(len(h), bool)
-        several = (low_s == 0) | ((low < -high) & (low_s < ~high_s))
-        out.append(np.where(covered, 1, np.where(several & (s > 0), 2, 0)).astype(np.uint8).tobytes())
-    return pd.DataFrame({"batch": pdf["batch"], "part": pdf["part"], "payload": out})
+    cuts = np.cumsum([len(x[0]) for x in sent])[:-1] if sent else []
+    h, doc, s = _joined(sent, (U, np.int64, np.uint32))
+    one = Merged(h, s)
+    covered = (one.least(doc) < doc) & (s > 0)
+    (low, high), (low_s, high_s) = one.spread(doc), one.spread(s)
+    several = (low_s == 0) | ((low < high) & (low_s < high_s))
+    verdict = np.where(covered, 1, np.where(several & (s > 0), 2, 0)).astype(np.uint8)
+    return pd.DataFrame({"batch": pdf["batch"], "part": pdf["part"], "payload": [x.tobytes() for x in np.split(verdict, cuts)]})
 
 
 def _judge_windows(pdf: pd.DataFrame) -> pd.DataFrame:
     """One range of window hashes: the starts of windows that an earlier
     document has; covered spans (part -1) pass through."""
     own = pdf["kind"].to_numpy() == 0
-    family = Family()
-    sent = [_unpack(raw, np.int32) for raw in pdf.loc[own, "payload"]]
-    for h, doc, _ in sent:
-        family.add(h, doc)
-    hits = [at[family.scan(h)[0] < doc] for h, doc, at in sent]
+    sent = [_unpack(raw, np.int32, np.uint32) for raw in pdf.loc[own, "payload"]]
+    cuts = np.cumsum([len(x[0]) for x in sent])[:-1] if sent else []
+    h, doc, at, check = _joined(sent, (U, np.int64, np.int32, np.uint32))
+    gone = Merged(h, check).least(doc) < doc
+    hits = [x[g] for x, g in zip(np.split(at, cuts), np.split(gone, cuts), strict=True)] if sent else []
     out = pd.DataFrame({"batch": pdf.loc[own, "batch"], "kind": 0, "payload": [x.astype(np.int32).tobytes() for x in hits]})
     return pd.concat([out, pdf.loc[~own, ["batch", "kind", "payload"]]])
 
@@ -372,14 +367,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, word: int = WORD, batc
             h = _hash_at(e.eights, at, length)
             ends, ids = np.frombuffer(row["ends"], np.int64), np.asarray(row["doc_ids"], np.int64)
             doc = ids[np.searchsorted(ends, at, "right")]
-            order = np.lexsort((doc, h))
-            h, doc, at = h[order], doc[order], at[order]
-            new = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
-            here = doc[new][np.cumsum(new) - 1] < doc if len(h) else new
+            check = (_hash_at(e.eights, at, length, 1) >> U(32)).astype(np.uint32)
+            order = np.argsort(h, kind="stable")
+            h, check, doc, at = h[order], check[order], doc[order], at[order]
+            here = Merged(h, check).least(doc) < doc
             first, end = _merged(np.concatenate([e.at[verdict == 1], at[here]]),
                                  np.concatenate([(e.at + e.n - 1 + length)[verdict == 1], at[here] + length]))
-            h, doc, at = h[~here], doc[~here], at[~here].astype(np.int32)
-            got = [(p, row["batch"], 0, _pack(h[a:b], doc[a:b], at[a:b])) for p, a, b in _slices(h, count)]
+            h, doc, at, check = h[~here], doc[~here], at[~here].astype(np.int32), check[~here]
+            got = [(p, row["batch"], 0, _pack(h[a:b], doc[a:b], at[a:b], check[a:b])) for p, a, b in _slices(h, count)]
             got.append((row["batch"] % count, row["batch"], 1, np.stack([first, end]).astype(np.int64).tobytes()))
             yield pd.DataFrame(got, columns=["part", "batch", "kind", "payload"]).astype(
                 {"part": "int64", "batch": "int64", "kind": "int64"})

@@ -69,3 +69,14 @@ def test_empty_and_clashing_columns(spark):
     one = spark.createDataFrame([(1, "abc", 9, "p")], "doc_id bigint, text string, batch int, part string")
     assert [(r["doc_id"], r["n_bytes"], bytes(r["kept"]), r["n_removed"], r["spans"]) for r in S.remove_repeats(one).collect()] == [
         (1, 3, b"abc", 0, [])]
+
+
+def test_colliding_hashes(spark, monkeypatch):
+    """Word and window hashes of a few bits: the check bits tell strings apart."""
+    full = S._hash_at
+    monkeypatch.setattr(S, "_hash_at", lambda e, at, n, seed=0: full(e, at, n, seed) if seed else full(e, at, n) & S.U(0xF00000003))
+    rows = corpus(4)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    got = S.remove_repeats(df, batch_bytes=1500).collect()
+    assert sorted(((r["doc_id"], bytes(r["kept"]), r["n_removed"]) for r in got), key=key) == sorted(brute(rows, 50), key=key)
