@@ -12,6 +12,8 @@ Defined results
 * Null text counts as empty; empty texts are equal to each other.
 * Of equal texts the row with the largest doc_id stays (null is smallest). If
   several rows share that doc_id and text, exactly one of them stays.
+* Documents may arrive in any number of batches, in one session or several on
+  the same folder; a row that is sent twice counts twice, and one of the two stays.
 * Digests whose texts differ (a collision, or a weak digest given by the
   caller) are told apart by the texts themselves.
 * Extra columns of the input are not read; an empty table gives no rows.
@@ -62,23 +64,33 @@ class StreamingDedup:
         self.root = root or scratch_path(spark, "exact-dedup")
         self.log, self.state = f"{self.root}/arrivals", f"{self.root}/state"
 
+    def _next_batch(self) -> int:
+        """Number of the batch to come: arrivals are unique by batch and number."""
+        try:
+            last = self.arrivals().agg(F.max("batch").alias("b")).first()["b"]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            last = None
+        return 0 if last is None else last + 1
+
     def ingest(self, docs: DataFrame) -> None:
         arrivals = _located(docs).select(
             "doc_id", self.digest(body()).alias("digest"), sha256(body()).alias("text_sha256"),
-            F.monotonically_increasing_id().alias("arrival"), "file", "row")
+            F.lit(self._next_batch()).alias("batch"), F.monotonically_increasing_id().alias("arrival"), "file", "row")
         arrivals.write.mode("append").parquet(self.log)
         schema = arrivals.schema
         with settings(self.spark, **STATE):
             rows = self.spark.readStream.schema(schema).parquet(self.log)
             keyed = rows.groupBy("digest").agg(
-                F.max(F.struct("doc_id", "arrival", "file", "row")).alias("keeper"),
+                F.max(F.struct("doc_id", "batch", "arrival", "file", "row")).alias("keeper"),
                 F.count(F.lit(1)).alias("arrivals"))
             run = (keyed.writeStream.format("noop").outputMode("update")
                    .option("checkpointLocation", self.state).trigger(availableNow=True).start())
             run.awaitTermination()
 
     def keyed_state(self) -> DataFrame:
-        """Per digest: keeper (doc_id, arrival, file, row) and arrivals."""
+        """Per digest: keeper (doc_id, batch, arrival, file, row) and arrivals."""
         with settings(self.spark, **STATE):
             raw = self.spark.read.format("statestore").load(self.state)
             return stored(raw.select("key.digest", F.col("value.max").alias("keeper"),
@@ -87,6 +99,15 @@ class StreamingDedup:
     def arrivals(self) -> DataFrame:
         return self.spark.read.parquet(self.log)
 
+    def decisions(self, state: DataFrame | None = None) -> DataFrame:
+        """Every arrival of every batch with what the state says of its digest."""
+        state = self.keyed_state() if state is None else state
+        total = state.agg(F.coalesce(F.sum("group_size"), F.lit(0)).alias("total"))
+        here = (F.col("arrival") == F.col("keeper.arrival")) & (F.col("batch") == F.col("keeper.batch"))
+        return lookup(self.arrivals(), state, "digest", "group_size", total).select(
+            "doc_id", F.col("keeper.doc_id").alias("keep_id"), "group_size", here.alias("kept"), "text_sha256",
+            F.col("keeper.file").alias("keep_file"), F.col("keeper.row").alias("keep_row"), "digest")
+
 
 def _differing(docs: DataFrame, hits: DataFrame, total: DataFrame, digest) -> DataFrame:
     """Digests among ``hits`` whose full texts are not all the same bytes.
@@ -106,14 +127,11 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
     and the locator of the content that stays (keep_file, keep_row)."""
     store = StreamingDedup(docs.sparkSession, digest=digest)
     store.ingest(docs)
-    state, rows = store.keyed_state(), store.arrivals()
+    state = store.keyed_state()
     total = state.agg(F.coalesce(F.sum("group_size"), F.lit(0)).alias("total"))
     hits = state.filter(F.col("group_size") > 1)
     mixed = stored(_differing(docs, hits, total, digest), "dedup-mixed")
-    out = lookup(rows, state, "digest", "group_size", total).select(
-        "doc_id", F.col("keeper.doc_id").alias("keep_id"), "group_size",
-        (F.col("arrival") == F.col("keeper.arrival")).alias("kept"), "text_sha256",
-        F.col("keeper.file").alias("keep_file"), F.col("keeper.row").alias("keep_row"), "digest")
+    out = store.decisions(state)
     if not mixed.isEmpty():
         out = out.join(mixed, "digest", "left_anti").unionByName(_by_text(docs, mixed, digest))
     return out.drop("digest")

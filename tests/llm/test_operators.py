@@ -55,6 +55,19 @@ def test_exact_dedup(spark, digest):
     assert exact_dedup.exact_dedup(empty(spark), digest).count() == 0
 
 
+def test_exact_dedup_over_batches(spark):
+    store = exact_dedup.StreamingDedup(spark)
+    store.ingest(frame(spark, ["x", "x", "y", None], [1, 2, 3, 4]))
+    store.ingest(frame(spark, ["x", "z", "x"], [1, 5, 2]))
+    again = exact_dedup.StreamingDedup(spark, store.root)  # a later session goes on with the same state
+    again.ingest(frame(spark, ["", "y", "w"], [9, 0, 7]))
+    again.ingest(empty(spark))
+    out = again.decisions().collect()
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"]) for r in out) == Counter(
+        [(1, 2, 4), (2, 2, 4), (1, 2, 4), (2, 2, 4), (3, 3, 2), (0, 3, 2), (4, 9, 2), (9, 9, 2), (5, 5, 1), (7, 7, 1)])
+    assert sorted(r["doc_id"] for r in out if r["kept"]) == [2, 3, 5, 7, 9]
+
+
 def test_chat_layouts(spark):
     recs = ['{"messages":[{"role":"user","content":"<|im_end|> <\\\\|"},{"role":"assistant","content":"x\\ny"}]}',
             '{"conversations":[{"from":"human","value":null},{"from":"gpt","value":"v"}]}', '{"odd":1}', "bad", None,

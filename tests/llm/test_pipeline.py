@@ -124,3 +124,16 @@ def test_run(spark, tmp_path):
     for p in places.values():
         p.sort()
         assert [o for o, _ in p] == [sum(n for _, n in p[:i]) for i in range(len(p))] and sum(n for _, n in p) <= 1024
+
+
+def test_clashing_columns(spark):
+    """Columns named like the stages' helpers keep their values."""
+    names = ["_text_key", "_spans", "_id", "_cut", "_whole", "_found_key", "_found_doc_id", "_FOUND_spans", "key"]
+    rows = corpus()
+    df = spark.createDataFrame([(d, t, *(f"{c}{d}" for c in names)) for d, t in rows],
+                               "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in names))
+    for stage, want in ((CP.drop_copies, brute_copies), (CP.drop_near_copies, brute_near), (CP.cut_passages, brute_cut)):
+        got = stage(spark, df, "").collect()
+        assert sorted((r["doc_id"], r["text"] or "") for r in got) == sorted((d, t or "") for d, t in want(rows)), stage
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in got for c in names)
+        assert stage(spark, df.limit(0), "").collect() == []
