@@ -10,9 +10,10 @@ from locusframe.catalog.aggregates import SQL_CARRIED, SQL_CLASS
 from locusframe.operators import calls as C
 from locusframe.operators import entities as EN
 from locusframe.operators import jsonops as JS
+from locusframe.operators import leftalign as LA
 from locusframe.operators import reshape as RS
 from locusframe.operators.filters import pc_box_bounds
-from locusframe.session import scratch_path
+from locusframe.session import cut_lineage, scratch_path
 
 
 @register("decompose", "WITH " + SQL_DCALL + " SELECT vid, allele, sid, alt, r1, r2 FROM dcall")
@@ -38,6 +39,23 @@ def q_normalize_trim(spark, sf_dir):
     return RS.normalize_trim(padded)
 
 
+@register("left_align", """
+WITH seqs AS (SELECT contig, string_agg(seq, '' ORDER BY vid) AS seq FROM fx_refpiece GROUP BY contig),
+ev AS (SELECT v.*, s.seq, length(ref) > length(alt) AS del, CASE WHEN length(ref) > length(alt) THEN substr(ref, 2)
+         WHEN length(alt) > length(ref) THEN substr(alt, 2) END AS d
+       FROM fx_indel v JOIN seqs s ON v.contig = s.contig),
+k AS (SELECT *, coalesce(list_position(list_transform(range(0, pos - 1),
+        lambda j: substr(seq, pos - j, 1) <> substr(d, length(d) - CAST(j % length(d) AS BIGINT), 1)), true) - 1, pos - 1) AS k FROM ev WHERE d IS NOT NULL),
+m AS (SELECT *, CAST(k % length(d) AS BIGINT) AS turn, substr(seq, pos - k, 1) AS base FROM k),
+e AS (SELECT *, base || right(d, turn) || left(d, length(d) - turn) AS event FROM m)
+SELECT vid, contig, pos - k AS pos, CASE WHEN del THEN event ELSE base END AS ref, CASE WHEN del THEN base ELSE event END AS alt FROM e
+UNION ALL SELECT vid, contig, pos, ref, alt FROM ev WHERE d IS NULL""")
+def q_left_align(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    windows = cut_lineage(LA.reference_windows(f.fx_refpiece.select("contig", "start", "seq"), width=256, halo=64))
+    return LA.left_align(f.fx_indel, windows, width=256, halo=64).select("vid", "contig", "pos", "ref", "alt")
+
+
 @register("carrier_rows", "WITH " + SQL_CARRIED.replace(
     "unnest([a1, a2]) AS a FROM pcall", "unnest([a1, a2]) AS a, unnest([1, 2]) AS copy FROM pcall").replace(
     "SELECT c.vid, c.sid, a AS allele", "SELECT c.vid, c.sid, c.copy, a AS allele") + """,

@@ -75,6 +75,20 @@ FROM (SELECT b.doc_id, d.lang, b.name, b.basename FROM {fx_blob} b JOIN {documen
 SELECT o_orderkey AS read_id, o_custkey AS payload FROM {orders} WHERE o_orderkey % 10 <> 0""",
     "fx_read2": """
 SELECT o_orderkey AS read_id, o_custkey AS payload FROM {orders} WHERE o_orderkey % 7 <> 0""",
+    # one piece of sequence a site: a base, then a repeat; some runs are longer than several windows
+    "fx_refpiece": """
+SELECT vid, contig, unit, seq, 1 + coalesce(sum(length(seq)) OVER (
+  PARTITION BY contig ORDER BY vid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+FROM (SELECT vid, contig, unit, substr('ACGT', CAST(1 + (vid * 7) % 4 AS INT), 1) || repeat(unit, copies) AS seq
+      FROM (SELECT vid, contig, substr('ACGT', CAST(1 + vid % 4 AS INT), 1)
+              || CASE WHEN vid % 3 = 0 THEN '' ELSE substr('ACGT', CAST(1 + (vid * 5) % 4 AS INT), 1) || 'C' END AS unit,
+              CASE WHEN vid % 67 = 0 THEN 300 ELSE CAST(3 + vid % 9 AS INT) END AS copies FROM {fx_site}) a) b""",
+    # events at the right end of a piece's repeat: the last unit gone, one unit more, or another base
+    "fx_indel": """
+SELECT vid, contig, CAST(start + length(seq) - 1 - CASE WHEN vid % 2 = 0 AND vid % 7 <> 0 THEN length(unit) ELSE 0 END AS BIGINT) AS pos,
+ right(unit, 1) || CASE WHEN vid % 2 = 0 AND vid % 7 <> 0 THEN unit ELSE '' END AS ref,
+ CASE WHEN vid % 7 = 0 THEN 'T' ELSE right(unit, 1) || CASE WHEN vid % 2 = 0 THEN '' ELSE unit END END AS alt
+FROM {fx_refpiece}""",
     "fx_depth": """
 SELECT l_partkey AS gene, CAST(sum(l_quantity) AS BIGINT) % 200 AS depth FROM {lineitem} GROUP BY l_partkey""",
 }
