@@ -9,6 +9,7 @@ from locusframe.catalog._common import SQL_DCALL, fx, parsed_calls, rounded
 from locusframe.catalog.aggregates import SQL_CARRIED, SQL_CLASS
 from locusframe.operators import calls as C
 from locusframe.operators import entities as EN
+from locusframe.operators import fields as FL
 from locusframe.operators import jsonops as JS
 from locusframe.operators import leftalign as LA
 from locusframe.operators import reshape as RS
@@ -56,6 +57,66 @@ def q_left_align(spark, sf_dir):
     return LA.left_align(f.fx_indel, windows, width=256, halo=64).select("vid", "contig", "pos", "ref", "alt")
 
 
+# Header lines of the fields in fx_typed and fx_info.
+FIELD_HEADER = [
+    '##INFO=<ID=AC,Number=A,Type=Integer,Description="x">', '##INFO=<ID=AF,Number=A,Type=Float,Description="x">',
+    '##INFO=<ID=DB,Number=0,Type=Flag,Description="x">', '##INFO=<ID=NS,Number=1,Type=Integer,Description="x">',
+    '##FORMAT=<ID=AD,Number=R,Type=Integer,Description="x">', '##FORMAT=<ID=DP,Number=1,Type=Integer,Description="x">',
+    '##FORMAT=<ID=PL,Number=G,Type=Integer,Description="x">', '##FORMAT=<ID=VAF,Number=A,Type=Float,Description="x">']
+
+SQL_TYPED = """t0 AS (SELECT vid, sid, ref, alt, gt, string_split(entry, ':') AS e, string_split(alt, ',') AS alts FROM fx_typed),
+typed AS (SELECT vid, sid, ref, alt, gt, alts, CASE WHEN e[2] <> '.' THEN string_split(e[2], ',') END AS ad, CAST(e[3] AS INTEGER) AS dp,
+  CASE WHEN e[4] <> '.' THEN string_split(e[4], ',') END AS pl, string_split(e[5], ',') AS vaf FROM t0)"""
+
+
+def _fields(spark, kind):
+    lines = spark.createDataFrame([(x,) for x in FIELD_HEADER], "value string")
+    return [x for x in FL.header_fields(lines) if x.kind == kind]
+
+
+def _split_entries(spark, sf_dir):
+    fields = _fields(spark, "FORMAT")
+    return FL.split_fields(FL.with_format(fx(spark, sf_dir).fx_typed, fields).drop("entry", "format"), fields), fields
+
+
+@register("format_fields", "WITH " + SQL_TYPED + """
+SELECT vid, sid, allele, alts[allele] AS alt, dp, CAST(ad[1] AS INTEGER) AS ad_ref, CAST(ad[allele + 1] AS INTEGER) AS ad_alt,
+  CAST(pl[1] AS INTEGER) AS pl_hom_ref, CAST(pl[1 + allele * (allele + 1) // 2] AS INTEGER) AS pl_het,
+  CAST(pl[1 + allele * (allele + 1) // 2 + allele] AS INTEGER) AS pl_hom_alt, CAST(vaf[allele] AS DOUBLE) AS vaf
+FROM (SELECT *, unnest(range(1, len(alts) + 1)) AS allele FROM typed) x""")
+def q_format_fields(spark, sf_dir):
+    d, _ = _split_entries(spark, sf_dir)
+    return d.select("vid", "sid", F.col("allele").cast("long").alias("allele"), "alt", F.col("DP").alias("dp"),
+                    F.get("AD", F.lit(0)).alias("ad_ref"), F.get("AD", F.lit(1)).alias("ad_alt"), F.get("PL", F.lit(0)).alias("pl_hom_ref"),
+                    F.get("PL", F.lit(1)).alias("pl_het"), F.get("PL", F.lit(2)).alias("pl_hom_alt"), F.col("VAF").alias("vaf"))
+
+
+@register("info_fields", """
+WITH s AS (SELECT vid, alt, info, string_split(alt, ',') AS alts, string_split(regexp_extract(info, 'AC=([^;]*)', 1), ',') AS ac,
+  string_split(regexp_extract(info, 'AF=([^;]*)', 1), ',') AS af FROM fx_info)
+SELECT vid, allele, alts[allele] AS alt, TRY_CAST(ac[allele] AS INTEGER) AS ac, TRY_CAST(af[allele] AS DOUBLE) AS af,
+  CAST(regexp_extract(info, 'NS=([0-9]+)', 1) AS INTEGER) AS ns, info LIKE 'DB;%' AS db
+FROM (SELECT *, unnest(range(1, len(alts) + 1)) AS allele FROM s) x""")
+def q_info_fields(spark, sf_dir):
+    fields = _fields(spark, "INFO")
+    d = FL.split_fields(FL.with_info(fx(spark, sf_dir).fx_info, fields), fields)
+    return d.select("vid", F.col("allele").cast("long").alias("allele"), "alt", F.col("AC").alias("ac"), F.col("AF").alias("af"),
+                    F.col("NS").alias("ns"), F.col("DB").alias("db"))
+
+
+@register("fields_rejoined", "WITH " + SQL_TYPED + """
+SELECT vid, sid, alt, dp, array_to_string(ad, ',') AS ad, array_to_string(list_transform(vaf, lambda x: CAST(round(CAST(x AS DOUBLE) * 100) AS BIGINT)), ',') AS vaf_pct,
+  CASE WHEN len(alts) = 2 AND pl IS NOT NULL THEN pl[1] || ',' || pl[2] || ',' || pl[3] || ',' || pl[4] || ',.,' || pl[6]
+       ELSE array_to_string(pl, ',') END AS pl
+FROM typed""")
+def q_fields_rejoined(spark, sf_dir):
+    d, fields = _split_entries(spark, sf_dir)
+    j = FL.join_fields(d, ["vid", "sid"], fields)
+    pct = F.transform("VAF", lambda x: F.round(x * 100).cast("long").cast("string"))
+    return j.select("vid", "sid", "alt", F.col("DP").alias("dp"), F.array_join("AD", ",").alias("ad"), F.array_join(pct, ",").alias("vaf_pct"),
+                    F.array_join("PL", ",", ".").alias("pl"))
+
+
 @register("carrier_rows", "WITH " + SQL_CARRIED.replace(
     "unnest([a1, a2]) AS a FROM pcall", "unnest([a1, a2]) AS a, unnest([1, 2]) AS copy FROM pcall").replace(
     "SELECT c.vid, c.sid, a AS allele", "SELECT c.vid, c.sid, c.copy, a AS allele") + """,

@@ -89,6 +89,19 @@ SELECT vid, contig, CAST(start + length(seq) - 1 - CASE WHEN vid % 2 = 0 AND vid
  right(unit, 1) || CASE WHEN vid % 2 = 0 AND vid % 7 <> 0 THEN unit ELSE '' END AS ref,
  CASE WHEN vid % 7 = 0 THEN 'T' ELSE right(unit, 1) || CASE WHEN vid % 2 = 0 THEN '' ELSE unit END END AS alt
 FROM {fx_refpiece}""",
+    # typed sub-fields: AD per allele, PL per genotype, VAF per ALT; a tenth of AD and of PL is missing
+    "fx_typed": """
+SELECT vid, sid, ref, alt, gt, 'GT:AD:DP:PL:VAF' AS format,
+ gt || ':' || CASE WHEN dp % 10 = 1 THEN '.' ELSE dp || ',' || (dp * 3 % 17) || CASE WHEN two THEN ',' || (dp * 5 % 13) ELSE '' END END
+ || ':' || dp || ':' || CASE WHEN dp % 10 = 2 THEN '.' ELSE '0,' || (dp % 29) || ',' || (vid % 31)
+   || CASE WHEN two THEN ',' || (sid % 37) || ',' || (dp * 7 % 41) || ',' || (vid * 3 % 43) ELSE '' END END
+ || ':0.' || (10 + dp) || CASE WHEN two THEN ',0.' || (60 - dp % 40) ELSE '' END AS entry
+FROM (SELECT c.vid, c.sid, c.gt, c.dp, s.ref, s.alt, s.alt LIKE '%,%' AS two
+      FROM {fx_call} c JOIN {fx_site} s ON c.vid = s.vid) t""",
+    "fx_info": """
+SELECT vid, ref, alt, CASE WHEN vid % 5 = 0 THEN 'DB;' ELSE '' END || 'AC=' || (vid % 50) || CASE WHEN alt LIKE '%,%' THEN ',' || (vid % 9) ELSE '' END
+ || ';AF=0.' || (10 + vid % 80) || CASE WHEN alt LIKE '%,%' THEN ',.' ELSE '' END || ';NS=' || (vid % 90) AS info
+FROM {fx_site}""",
     "fx_depth": """
 SELECT l_partkey AS gene, CAST(sum(l_quantity) AS BIGINT) % 200 AS depth FROM {lineitem} GROUP BY l_partkey""",
 }
