@@ -8,6 +8,7 @@ from locusframe.catalog import register
 from locusframe.catalog._common import (SQL_DCALL, SQL_NSAMP, SQL_VQC_AGG, fx, n_samples,
                                         parsed_calls, rounded)
 from locusframe.operators import calls as C
+from locusframe.sources import packed as PK
 
 
 @register("variant_qc", ("WITH " + SQL_DCALL + ",\n" + SQL_NSAMP + ",\n" + SQL_VQC_AGG + """
@@ -22,6 +23,38 @@ def q_variant_qc(spark, sf_dir):
     return rounded(C.variant_qc(d, n_samples(f), sites=f.fx_site))
 
 
+SQL_PACKED_QC = "WITH " + SQL_DCALL + ",\n" + SQL_NSAMP + ",\n" + SQL_VQC_AGG + """,
+full_qc AS (SELECT s.contig, s.pos, s.ref, s.old_alt, s.alt, s.allele, n, coalesce(n_called, 0) AS n_called, coalesce(AN, 0) AS AN, coalesce(AC, 0) AS AC,
+  coalesce(n_het, 0) AS n_het, coalesce(n_hom_ref, 0) AS n_hom_ref, coalesce(n_hom_alt, 0) AS n_hom_alt, coalesce(n_hemi, 0) AS n_hemi
+  FROM salt s LEFT JOIN vqc0 v ON s.vid = v.vid AND s.allele = v.allele, nsamp)
+SELECT contig, pos, ref, old_alt, alt, allele, n_called, AN, AC, n_het, n_hom_ref, n_hom_alt, n_hemi, n - n_called AS n_not_called,
+  round(n_called / CAST(n AS DOUBLE), 6) AS call_rate, round(CASE WHEN AN > 0 THEN AC / CAST(AN AS DOUBLE) END, 6) AS AF_alt,
+  round(CASE WHEN AN > 0 THEN 1 - AC / CAST(AN AS DOUBLE) END, 6) AS AF_ref FROM full_qc"""
+
+
+@register("packed_variant_qc", SQL_PACKED_QC)
+def q_packed_variant_qc(spark, sf_dir):
+    from locusframe.catalog.sources import fixture_vcf
+    qc = PK.packed_variant_qc(PK.read_packed(spark, fixture_vcf(fx(spark, sf_dir))))
+    return rounded(qc.drop("id", "qual", "filter", "info").withColumn("allele", F.col("allele").cast("long")))
+
+
+@register("packed_sample_qc", "WITH " + SQL_DCALL + """,
+per AS (SELECT sid, CAST(sum(CASE WHEN k > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_called,
+  CAST(sum(CASE WHEN k = 2 AND d = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_het, CAST(sum(CASE WHEN k = 2 AND d = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_hom_ref,
+  CAST(sum(CASE WHEN k = 2 AND d = 2 THEN 1 ELSE 0 END) AS BIGINT) AS n_hom_alt, CAST(sum(CASE WHEN k = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_hemi
+  FROM dcall GROUP BY sid)
+SELECT s.sample, coalesce(n_called, 0) AS n_called, coalesce(n_het, 0) AS n_het, coalesce(n_hom_ref, 0) AS n_hom_ref,
+  coalesce(n_hom_alt, 0) AS n_hom_alt, coalesce(n_hemi, 0) AS n_hemi FROM fx_sample s LEFT JOIN per p ON s.sid = p.sid""")
+def q_packed_sample_qc(spark, sf_dir):
+    from locusframe.catalog.sources import fixture_vcf
+    from locusframe.sources import vcf as V
+    path = fixture_vcf(fx(spark, sf_dir))
+    names, _ = V.header_tables(V.vcf_header_only(spark, path))
+    got = PK.packed_sample_qc(PK.read_packed(spark, path)).withColumnRenamed("sample", "col")
+    return got.join(names.drop("file").distinct(), "col").drop("col")
+
+
 from locusframe.catalog._common import SQL_PCALL, SQL_SALT, SQL_VQC_FILLED  # noqa: E402
 from locusframe.functions.hwe import hwe_sql  # noqa: E402
 from locusframe.operators import intervals as IV  # noqa: E402
