@@ -1,9 +1,13 @@
 """HWE-normalised PCA of dosage arrays.
 
-The Gramian of the sample space (n x n, n = samples) is accumulated over the
-variant rows by Spark in one tree aggregate, decomposed on the driver
-(n x n only), and the variant loadings U are produced distributed.  Suited to cohorts of up
-to tens of thousands of samples; beyond that a randomised sketch is needed.
+The leading eigenpairs of Z'Z (Z: variants x samples) by block subspace
+iteration from a random start: a block of k + ``EXTRA`` sample vectors is
+multiplied by Z'Z in one Spark job a round, then orthonormalised and rotated to
+its Ritz vectors. Each round searches the block, its residual and its last
+step together, which takes a few dozen rounds where plain powers take
+hundreds. Nothing samples x samples is formed anywhere: the driver holds a few
+matrices of samples x 3 (k + EXTRA), a task one more and the rows of one Arrow
+batch. The variant loadings are computed distributed.
 """
 
 from __future__ import annotations
@@ -11,13 +15,17 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from locusframe.operators.ld import with_moments
+from locusframe.session import cut_lineage
+
+EXTRA = 10  # vectors beyond the wanted ones
+TOLERANCE, ROUNDS = 1e-8, 300
+SUM_BLOCK = 512  # samples of a partial sum that travel as one row
 
 
 def hwe_normalize(arrs: DataFrame, m: int | None = None, key: str = "vid") -> DataFrame:
@@ -37,22 +45,83 @@ def hwe_normalize(arrs: DataFrame, m: int | None = None, key: str = "vid") -> Da
     return v.select(key, "idx", "af", z.alias("z"))
 
 
+def gram_product(norm: DataFrame, q: np.ndarray) -> np.ndarray:
+    """Z'(Z q) for the rows ``z`` of ``norm``: every task sums over its rows,
+    partial sums meet by blocks of samples, and what comes back is q's size."""
+    spark, (n, width) = norm.sparkSession, q.shape
+    sent = spark.sparkContext.broadcast(q)
+
+    def multiply(it):
+        out = np.zeros((n, width))
+        for b in it:
+            if len(b):
+                z = np.vstack(b["z"].to_numpy())
+                out += z.T @ (z @ sent.value)
+        at = range(0, n, SUM_BLOCK)
+        yield pd.DataFrame({"block": list(at), "part": [out[a:a + SUM_BLOCK].tobytes() for a in at]})
+
+    def add(it):
+        sums: dict[int, np.ndarray] = {}
+        for b in it:
+            for a, raw in zip(b["block"], b["part"], strict=True):
+                x = np.frombuffer(raw).reshape(-1, width)
+                sums[a] = sums[a] + x if a in sums else x
+        yield pd.DataFrame({"block": list(sums), "part": [x.tobytes() for x in sums.values()]}).astype({"block": "int64", "part": object})
+
+    schema = "block bigint, part binary"
+    parts = norm.select("z").mapInPandas(multiply, schema).repartition("block")
+    out = np.zeros((n, width))
+    for r in parts.mapInPandas(add, schema).collect():  # n x width in all
+        x = np.frombuffer(r["part"]).reshape(-1, width)
+        out[r["block"]:r["block"] + len(x)] = x
+    sent.unpersist()
+    return out
+
+
+def _orthonormal(s: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of the columns of ``s``; directions that are
+    combinations of others, but for rounding, go."""
+    scale = np.linalg.norm(s, axis=0)
+    s = s[:, scale > 0] / scale[scale > 0]
+    u, sv, _ = np.linalg.svd(s, full_matrices=False)
+    return u[:, sv > 1e-10 * sv[0]]
+
+
+def top_eigenpairs(product, n: int, k: int, extra: int = EXTRA, tolerance: float = TOLERANCE, rounds: int = ROUNDS,
+                   seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest eigenvalues and vectors of a symmetric positive n x n
+    operator known by ``product(q)`` alone."""
+    width = min(n, k + extra)
+    x = step = np.zeros((n, 0))
+    search = np.linalg.qr(np.random.default_rng(seed).standard_normal((n, width)))[0]
+    for _ in range(rounds):
+        gs = product(search)
+        h = search.T @ gs
+        w, c = np.linalg.eigh((h + h.T) / 2)
+        w, c = w[::-1][:width], c[:, ::-1][:, :width]
+        old, x, gx = x, search @ c, gs @ c
+        step = x - old @ (old.T @ x) if old.shape[1] else step
+        rest = gx - x * w
+        if np.linalg.norm(rest[:, :k], axis=0).max(initial=0) <= tolerance * max(w[0], 1e-300):
+            break
+        rest -= x @ (x.T @ rest)
+        search = _orthonormal(np.hstack([x, rest, step]))
+    return w[:k], x[:, :k]
+
+
 def pca_hwe(norm: DataFrame, k: int, key: str = "vid"):
     """Returns (eigenvalues list, scores rows [(sample_index, [k])],
     loadings DataFrame (key, af, loadings ARRAY<DOUBLE>)).
 
-    One distributed pass accumulates the sample-space Gramian Z'Z (a tree
-    aggregate of per-partition products, n x n); its top-k eigenpairs give
-    V and s (scores = V s); a second pass computes the variant loadings
-    U = Z V / s in Arrow batches.  Signs are fixed so that the
+    Eigenpairs of Z'Z give V and s (scores = V s); a last pass computes the
+    variant loadings U = Z V / s in Arrow batches. Signs are fixed so that the
     largest-magnitude sample coordinate of each component is positive."""
     spark = norm.sparkSession
-    rows = norm.select("z").rdd.map(lambda r: Vectors.dense(r[0]))
-    gram = np.array(RowMatrix(rows).computeGramianMatrix().toArray())
-    w, vecs = np.linalg.eigh(gram)
-    top = np.argsort(w)[::-1][:k]
-    w, V = np.clip(w[top], 0.0, None), vecs[:, top]
-    signs = np.sign(V[np.abs(V).argmax(axis=0), range(V.shape[1])])
+    norm = cut_lineage(norm)  # read again in every round
+    n = norm.select(F.max(F.size("z"))).first()[0] or 0
+    w, V = top_eigenpairs(lambda q: gram_product(norm, q), n, k) if n else (np.zeros(0), np.zeros((0, 0)))
+    w = np.clip(w, 0.0, None)
+    signs = np.sign(V[np.abs(V).argmax(axis=0), range(V.shape[1])]) if n else np.zeros(0)
     signs[signs == 0] = 1
     V = V * signs
     s = np.sqrt(w)
@@ -62,7 +131,6 @@ def pca_hwe(norm: DataFrame, k: int, key: str = "vid"):
     bproj = spark.sparkContext.broadcast(proj)
 
     def loadings_batches(it):
-        import pandas as pd
         for pdf in it:
             z = np.vstack(pdf["z"].to_numpy()) if len(pdf) else np.zeros((0, proj.shape[0]))
             u = z @ bproj.value
