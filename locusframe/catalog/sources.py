@@ -18,6 +18,7 @@ from locusframe.operators import intervals as IV
 from locusframe.operators import listing as LS
 from locusframe.operators.scan import row_index
 from locusframe.session import scratch_path
+from locusframe.sources import blockvcf as BV
 from locusframe.sources import tables as ST
 from locusframe.sources import vcf as V
 from locusframe.sources.checkpoint import checkpoint_stage
@@ -72,6 +73,35 @@ def q_vcf_read(spark, sf_dir):
     return t.entries.select("contig", "pos", "ref", "alt", "sample", "gt")
 
 
+def _block_vcf(f) -> str:
+    """The fixture cohort as block gzip parts."""
+    if "block_vcf" not in f.extra:
+        hdr = V.header_lines([(c, HG38_LENGTHS.get(c)) for c in HEADER_CONTIGS], _sample_names(f), META)
+        f.extra["block_vcf"] = BV.write_blocks(_fixture_records(f), hdr, scratch_path(f.spark, "block-vcf"))
+    return f.extra["block_vcf"]
+
+
+@register("vcf_blocks", "WITH " + SQL_DENSE + """
+SELECT s.contig, s.pos, s.rsid AS id, s.ref, s.alt, s.filter, count(*) AS n_entries, count(*) FILTER (d.entry LIKE '0/1:%') AS n_het
+FROM fx_site s JOIN dense d ON s.vid = d.vid GROUP BY s.vid, s.contig, s.pos, s.rsid, s.ref, s.alt, s.filter""")
+def q_vcf_blocks(spark, sf_dir):
+    BV.register(spark)
+    df = (spark.read.format("vcf").schema("contig string, pos long, id string, ref string, alt string, filter string, entries array<string>")
+          .option("splitBytes", str(1 << 20)).load(_block_vcf(fx(spark, sf_dir))))
+    het = F.size(F.filter("entries", lambda e: e.startswith("0/1:")))
+    return df.select("contig", "pos", "id", "ref", "alt", "filter", F.size("entries").cast("long").alias("n_entries"), het.cast("long").alias("n_het"))
+
+
+@register("vcf_region", """
+SELECT contig, pos, ref, alt FROM fx_site WHERE (contig = 'chr3' AND pos BETWEEN 1000000 AND 3000000) OR contig = 'chr20'""")
+def q_vcf_region(spark, sf_dir):
+    BV.register(spark)
+    path = _block_vcf(fx(spark, sf_dir))
+    index = BV.build_index(spark, path, scratch_path(spark, "block-vcf-index"), split_bytes=1 << 18)
+    return (spark.read.format("vcf").schema("contig string, pos long, ref string, alt string").option("index", index)
+            .option("region", "chr3:1000000-3000000,chr20").load(path))
+
+
 @register("vcf_header", """
 SELECT 'contig' AS kind, c AS value FROM (SELECT unnest(['chr' || x FOR x IN range(1, 23)] || ['chrX', 'chrY', 'chrM']) AS c) a
 UNION ALL SELECT 'sample', sample FROM fx_sample""")
