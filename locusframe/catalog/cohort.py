@@ -12,7 +12,7 @@ from locusframe.functions.hwe import hwe_sql
 from locusframe.operators import forest as RF
 from locusframe.operators import ld as LD
 from locusframe.operators import pca as PCA
-from locusframe.operators.regress import residualize
+from locusframe.operators.regress import residualize, residualize_groups
 from locusframe.operators.scores import polygenic_score
 from locusframe.plans import ancestry as PL
 
@@ -179,3 +179,25 @@ def q_pgs_residualize(spark, sf_dir):
     scores, _ = polygenic_score(parsed_calls(f), f.fx_site, f.fx_weight)
     j = scores.select("pgs", "sid", "score").join(proj.select("sid", "l1"), "sid")
     return rounded(residualize(j, "score", "l1", ["pgs"]).select("pgs", "sid", "residual"))
+
+
+@register("pgs_residualize_pcs", "WITH " + SQL_AF + ",\n" + SQL_SCORE_BODY + """,
+sc AS (SELECT m.pgs, c.sid,
+         sum(m.beta * ((CASE WHEN c.a1 = m.eff THEN 1 ELSE 0 END) + (CASE WHEN c.a2 = m.eff THEN 1 ELSE 0 END)))
+         / sum((CASE WHEN c.a1 IS NULL THEN 0 ELSE 1 END) + (CASE WHEN c.a2 IS NULL THEN 0 ELSE 1 END)) AS score
+       FROM m JOIN pcall c ON m.vid = c.vid WHERE m.eff >= 0 GROUP BY m.pgs, c.sid
+       HAVING sum((CASE WHEN c.a1 IS NULL THEN 0 ELSE 1 END) + (CASE WHEN c.a2 IS NULL THEN 0 ELSE 1 END)) > 0),
+j AS (SELECT sc.pgs, sc.sid, sc.score, proj.l1, proj.l2, proj.l3 FROM sc JOIN proj ON sc.sid = proj.sid),
+c AS (SELECT pgs, covar_pop(l1, l1) AS a, covar_pop(l1, l2) AS b, covar_pop(l1, l3) AS c, covar_pop(l2, l2) AS d, covar_pop(l2, l3) AS e,
+        covar_pop(l3, l3) AS f, covar_pop(l1, score) AS p, covar_pop(l2, score) AS q, covar_pop(l3, score) AS r,
+        avg(l1) AS m1, avg(l2) AS m2, avg(l3) AS m3, avg(score) AS my FROM j GROUP BY pgs),
+det AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM c),
+fit AS (SELECT pgs, m1, m2, m3, my, (p * (d * f - e * e) - b * (q * f - r * e) + c * (q * e - r * d)) / det AS b1,
+          (a * (q * f - r * e) - p * (b * f - c * e) + c * (b * r - c * q)) / det AS b2,
+          (a * (d * r - e * q) - b * (b * r - c * q) + p * (b * e - c * d)) / det AS b3 FROM det)
+SELECT j.pgs, j.sid, round(score - my - b1 * (l1 - m1) - b2 * (l2 - m2) - b3 * (l3 - m3), 6) AS residual FROM j JOIN fit ON j.pgs = fit.pgs""")
+def q_pgs_residualize_pcs(spark, sf_dir):
+    f, proj = _projection(spark, sf_dir)
+    scores, _ = polygenic_score(parsed_calls(f), f.fx_site, f.fx_weight)
+    j = scores.select("pgs", "sid", "score").join(proj.select("sid", "l1", "l2", "l3"), "sid")
+    return rounded(residualize_groups(j, "score", ["l1", "l2", "l3"], ["pgs"]).select("pgs", "sid", "residual"))

@@ -9,6 +9,8 @@ from locusframe.catalog._common import SQL_NSAMP, SQL_PCALL, SQL_SALT, fx, n_sam
 from locusframe.operators import ancestry as AN
 from locusframe.operators import calls as C
 from locusframe.operators import intervals as IV
+from locusframe.operators import levels as LV
+from locusframe.operators import remap as RM
 from locusframe.operators import listing as LS
 from locusframe.operators import tables as TB
 from locusframe.operators.reads import pair_reads
@@ -182,23 +184,63 @@ def q_region_assign(spark, sf_dir):
 
 
 @register("overlap_join", """
-SELECT a.contig, a.start_pos AS start_a, a.end_pos AS end_a, b.start_pos AS start_b, b.end_pos AS end_b
-FROM fx_interval a JOIN fx_interval b ON a.contig = b.contig AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos
-WHERE a.name = '1-URGENT' AND b.name = '2-HIGH'""")
+SELECT a.contig, a.name AS name_a, a.start_pos AS start_a, a.end_pos AS end_a, b.name AS name_b, b.start_pos AS start_b, b.end_pos AS end_b
+FROM fx_interval a JOIN fx_interval b ON a.contig = b.contig AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos""")
 def q_overlap_join(spark, sf_dir):
     f = fx(spark, sf_dir)
     iv = f.fx_interval.select("contig", F.col("start_pos").alias("start"), F.col("end_pos").alias("end"), "name")
-    a = iv.where(F.col("name") == "1-URGENT").drop("name")
-    b = iv.where(F.col("name") == "2-HIGH").drop("name")
-    p = IV.overlap_pairs(a, b, width=10_000)
-    return p.select(F.col("contig_a").alias("contig"), "start_a", "end_a", "start_b", "end_b")
+    p = IV.overlap_pairs(iv, iv, width=10_000)
+    return p.select(F.col("contig_a").alias("contig"), "name_a", "start_a", "end_a", "name_b", "start_b", "end_b")
+
+
+@register("overlap_levels", """
+SELECT a.contig, a.kind AS kind_a, a.start_pos AS start_a, a.end_pos AS end_a, b.kind AS kind_b, b.start_pos AS start_b, b.end_pos AS end_b
+FROM fx_span a JOIN fx_span b ON a.contig = b.contig AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos
+WHERE a.kind <> 'short' AND b.kind <> 'long'""")
+def q_overlap_levels(spark, sf_dir):
+    s = fx(spark, sf_dir).fx_span.select("contig", F.col("start_pos").alias("start"), F.col("end_pos").alias("end"), "kind")
+    p = LV.overlap_pairs_by_level(s.where("kind <> 'short'"), s.where("kind <> 'long'"))
+    return p.select(F.col("contig_a").alias("contig"), "kind_a", "start_a", "end_a", "kind_b", "start_b", "end_b")
+
+
+@register("points_levels", """
+SELECT s.vid, count(p.contig) AS n, count(*) FILTER (p.kind = 'short') AS n_short, coalesce(max(p.end_pos - p.start_pos), 0) AS longest
+FROM fx_site s LEFT JOIN fx_span p ON s.contig = p.contig AND p.start_pos <= s.pos AND s.pos < p.end_pos GROUP BY s.vid""")
+def q_points_levels(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    s = f.fx_span.select("contig", F.col("start_pos").alias("start"), F.col("end_pos").alias("end"), "kind")
+    j = LV.points_by_level(f.fx_site.select("vid", "contig", "pos"), s, how="left")
+    return j.groupBy("vid").agg(F.count("kind").alias("n"), F.count(F.when(F.col("kind") == "short", 1)).alias("n_short"),
+                                F.coalesce(F.max(F.col("end") - F.col("start")), F.lit(0)).alias("longest"))
+
+
+@register("remap_chains", """
+WITH p AS (SELECT i.contig, i.start_pos, i.end_pos, c.chain, c.dst, c.strand, greatest(i.start_pos, c.block_start) AS lo, least(i.end_pos, c.block_end) AS hi,
+             c.block_start, c.block_end, c.dst_start
+           FROM (SELECT DISTINCT contig, start_pos, end_pos FROM fx_interval) i
+           JOIN fx_chain c ON i.contig = c.src AND i.start_pos < c.block_end AND c.block_start < i.end_pos),
+r AS (SELECT contig, start_pos, end_pos, chain, dst, strand, CAST(sum(hi - lo) AS BIGINT) AS bases,
+        min(dst_start + CASE WHEN strand = '+' THEN lo - block_start ELSE block_end - hi END) AS s,
+        max(dst_start + CASE WHEN strand = '+' THEN hi - block_start ELSE block_end - lo END) AS e
+      FROM p GROUP BY contig, start_pos, end_pos, chain, dst, strand),
+q AS (SELECT *, bases >= 0.7 * (end_pos - start_pos) AS ok FROM r),
+g AS (SELECT contig, start_pos, end_pos, count(*) FILTER (ok) AS enough, least(sum(bases), end_pos - start_pos) AS together FROM q GROUP BY contig, start_pos, end_pos)
+SELECT i.contig, i.start_pos, i.end_pos, q.dst AS new_contig, q.s AS new_start, q.e AS new_end, q.strand AS new_strand, q.chain,
+  round(coalesce(q.bases, g.together, 0) / CAST(i.end_pos - i.start_pos AS DOUBLE), 6) AS share,
+  CASE WHEN g.contig IS NULL THEN 'deleted' WHEN g.enough = 1 THEN NULL WHEN g.enough > 1 THEN 'duplicated'
+       WHEN g.together >= 0.7 * (i.end_pos - i.start_pos) THEN 'split' ELSE 'partial' END AS reason
+FROM fx_interval i LEFT JOIN g ON i.contig = g.contig AND i.start_pos = g.start_pos AND i.end_pos = g.end_pos
+LEFT JOIN q ON g.enough = 1 AND q.ok AND i.contig = q.contig AND i.start_pos = q.start_pos AND i.end_pos = q.end_pos""")
+def q_remap_chains(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    iv = f.fx_interval.select("contig", "start_pos", "end_pos")
+    return rounded(RM.remap_chains(iv, f.fx_chain, 0.7, start="start_pos", end="end_pos"))
 
 
 @register("overlap_join_blocks", """
 SELECT i.contig, i.name, i.start_pos AS start_a, i.end_pos AS end_a, b.block_start AS start_b, b.block_end AS end_b
 FROM fx_interval i JOIN fx_block b ON i.contig = b.src AND i.start_pos < b.block_end AND b.block_start < i.end_pos""")
 def q_overlap_join_blocks(spark, sf_dir):
-    """All classes of fx_interval; ``overlap_join`` has two of them, as its SQL says."""
     f = fx(spark, sf_dir)
     a = f.fx_interval.select("contig", F.col("start_pos").alias("start"), F.col("end_pos").alias("end"), "name")
     b = f.fx_block.select(F.col("src").alias("contig"), F.col("block_start").alias("start"), F.col("block_end").alias("end"))

@@ -102,6 +102,24 @@ FROM (SELECT c.vid, c.sid, c.gt, c.dp, s.ref, s.alt, s.alt LIKE '%,%' AS two
 SELECT vid, ref, alt, CASE WHEN vid % 5 = 0 THEN 'DB;' ELSE '' END || 'AC=' || (vid % 50) || CASE WHEN alt LIKE '%,%' THEN ',' || (vid % 9) ELSE '' END
  || ';AF=0.' || (10 + vid % 80) || CASE WHEN alt LIKE '%,%' THEN ',.' ELSE '' END || ';NS=' || (vid % 90) AS info
 FROM {fx_site}""",
+    # intervals of every length: short ones, ten times and a thousand times as long, and whole contigs
+    "fx_span": """
+SELECT contig, start_pos, end_pos, 'short' AS kind FROM {fx_interval}
+UNION ALL SELECT contig, start_pos, start_pos + (end_pos - start_pos) * 1000, 'long' FROM {fx_interval} WHERE start_pos % 50 = 0
+UNION ALL SELECT contig, start_pos, start_pos + 10000000, 'wide' FROM {fx_interval} WHERE start_pos % 997 = 0
+UNION ALL SELECT contig, CAST(0 AS BIGINT), CAST(248956422 AS BIGINT), 'contig' FROM {fx_interval} GROUP BY contig""",
+    # two blocks per 100 kb, a gap of 100 between them; every third pair lies in reverse, every seventh has a second chain
+    "fx_chain": """
+SELECT src || ':' || block_start AS chain, src, block_start, block_start + 40000 AS block_end, dst,
+ block_start + CASE WHEN rev THEN 50000 + shift ELSE shift END AS dst_start, CASE WHEN rev THEN '-' ELSE '+' END AS strand
+FROM (SELECT *, CAST(floor(block_start / 100000) AS BIGINT) % 3 = 0 AS rev FROM {fx_block}) a
+UNION ALL
+SELECT src || ':' || block_start, src, block_start + 40100, block_end, dst,
+ block_start + CASE WHEN rev THEN shift ELSE 40100 + shift END, CASE WHEN rev THEN '-' ELSE '+' END
+FROM (SELECT *, CAST(floor(block_start / 100000) AS BIGINT) % 3 = 0 AS rev FROM {fx_block}) b
+UNION ALL
+SELECT 'second ' || src || ':' || block_start, src, block_start + 20000, block_start + 30000, 'chr1', block_start * 2, '+'
+FROM {fx_block} WHERE CAST(floor(block_start / 100000) AS BIGINT) % 7 = 1""",
     "fx_depth": """
 SELECT l_partkey AS gene, CAST(sum(l_quantity) AS BIGINT) % 200 AS depth FROM {lineitem} GROUP BY l_partkey""",
 }
