@@ -15,6 +15,8 @@ from locusframe.operators import pca as PCA
 from locusframe.operators.regress import residualize, residualize_groups
 from locusframe.operators.scores import polygenic_score
 from locusframe.plans import ancestry as PL
+from locusframe.session import scratch_path
+from locusframe.sources.checkpoint import StageStore, files_key
 
 AF_MIN = 0.0075  # meaningful at every fixture scale (FIXTURES caveat 1)
 K = 10
@@ -89,6 +91,34 @@ def q_build_reference(spark, sf_dir):
     return rounded(_reference(fx(spark, sf_dir)).scores)
 
 
+@register("staged_reference", "WITH " + SQL_VQC_FILLED + ",\np AS " + hwe_sql("vqcf", "vid, allele") + """,
+keep AS (SELECT v.vid FROM vqcf v JOIN p ON v.vid = p.vid AND v.allele = p.allele JOIN fx_site s ON v.vid = s.vid
+         WHERE s.alt NOT LIKE '%,%' AND v.AC / CAST(v.AN AS DOUBLE) > 0.0075 AND p.p_hwe > 1e-6)
+SELECT 'filtered' AS stage, (SELECT count(*) FROM keep) AS n, 1 AS first_run, 0 AS second_run, 0 AS other_forest
+UNION ALL SELECT 'arrays', (SELECT count(*) FROM keep), 1, 0, 0
+UNION ALL SELECT 'pruned', NULL, 1, 0, 0
+UNION ALL SELECT 'components', (SELECT count(*) FROM fx_sample), 1, 0, 0
+UNION ALL SELECT 'model', NULL, 1, 0, 1""")
+def q_staged_reference(spark, sf_dir):
+    """The reference built as stored stages, built again, and built with
+    another forest: which stages ran each time, and the rows that they hold."""
+    f = fx(spark, sf_dir)
+    samples = f.fx_sample.select("sid", "population")
+    inputs = [files_key(x) for x in (f.fx_call, f.fx_site, f.fx_sample)]
+    root, ran, held = scratch_path(spark, "staged-reference"), [], {}
+    for trees in (20, 20, 30):
+        store = StageStore(spark, root)
+        ref = PL.build_reference_staged(store, parsed_calls(f), f.fx_site, samples, inputs, k=K, af_min=AF_MIN, n_trees=trees)
+        ran.append(store.computed)
+        held["components"] = ref.scores.count()
+    settings = {"af_min": AF_MIN, "hwe_min": 1e-6}
+    key, t = store.tables("filtered", settings, inputs, dict)
+    held["filtered"] = t["keep"].count()
+    held["arrays"] = store.tables("arrays", {}, [key], dict)[1]["arrays"].count()
+    rows = [(s, held.get(s), *(int(s in r) for r in ran)) for s in ("filtered", "arrays", "pruned", "components", "model")]
+    return spark.createDataFrame(rows, "stage string, n long, first_run int, second_run int, other_forest int")
+
+
 @register("infer_samples")
 def q_infer_samples(spark, sf_dir):
     from locusframe.catalog.sources import fixture_vcf

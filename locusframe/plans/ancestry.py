@@ -18,6 +18,7 @@ from locusframe.operators import ld as LD
 from locusframe.operators import pca as PCA
 from locusframe.operators.ancestry import pc_project
 from locusframe.session import broadcast_checked, cut_lineage
+from locusframe.sources.checkpoint import StageStore
 
 
 @dataclass
@@ -85,9 +86,53 @@ def build_reference(spark: SparkSession, calls: DataFrame, sites: DataFrame, sam
     return Reference(sc, lw, eig, model, k)
 
 
+def build_reference_staged(store: StageStore, calls: DataFrame, sites: DataFrame, samples: DataFrame, inputs: list[str],
+                           k: int = 10, af_min: float = 0.01, hwe_min: float = 1e-6, r2: float = 0.1,
+                           n_trees: int = RF.N_TREES, max_depth: int = 30, seed: int = 7) -> Reference:
+    """:func:`build_reference` as stored stages. ``inputs`` are the keys of
+    what ``calls``, ``sites`` and ``samples`` read (see ``files_key``). What is
+    finished is read back, the trained model included; a changed setting runs
+    the stages that depend on it and no others."""
+    spark = store.spark
+    sidx = LD.sample_index(samples)
+
+    def filtered():
+        return {"keep": filtered_variants(calls, sites, samples.count(), af_min, hwe_min)}
+
+    key, t = store.tables("filtered", {"af_min": af_min, "hwe_min": hwe_min}, inputs, filtered)
+    keep = t["keep"]
+
+    def arrays():
+        return {"arrays": LD.dosage_arrays(calls.join(keep.select("vid"), "vid"), sidx, samples.count(), fill_homref=True)}
+
+    array_key, t = store.tables("arrays", {}, [key], arrays)
+    arrs = t["arrays"]
+    key, t = store.tables("pruned", {"r2": r2}, [array_key], lambda: {"kept": prune(spark, arrs, sites, keep, r2)})
+    kept = t["kept"]
+
+    def components():
+        eig, scores, load = PCA.pca_hwe(cut_lineage(PCA.hwe_normalize(arrs.join(kept, "vid"))), k)
+        names = sites.select("vid", G.variant_id("contig", "pos", "ref", "alt").alias("variant_id"), "contig", "pos", "ref", "alt")
+        cols = ["variant_id", "contig", "pos", "ref", "alt", "af", *_pcs(k)]
+        return {"scores": PCA.scores_frame(spark, scores, sidx, k).join(samples.select("sid", "population"), "sid"),
+                "loadings": RF.pc_columns(load.join(names, "vid"), "loadings", k).select(*cols),
+                "eigenvalues": spark.createDataFrame([(i, float(e)) for i, e in enumerate(eig)], "component int, value double")}
+
+    key, t = store.tables("components", {"k": k}, [key], components)
+    model_settings = {"n_trees": n_trees, "max_depth": max_depth, "seed": seed}
+    _, model = store.model("model", model_settings, [key], lambda: RF.rf_train(
+        t["scores"], _pcs(k), "population", n_trees=n_trees, max_depth=max_depth, seed=seed))
+    eig = [r["value"] for r in t["eigenvalues"].orderBy("component").collect()]  # k rows
+    return Reference(t["scores"], t["loadings"], eig, model, k)
+
+
 def loading_sites(ref: Reference) -> DataFrame:
     """(variant_id, contig, pos, ref, alt) of the reference loadings."""
+    if "contig" in ref.loadings.columns:
+        return ref.loadings.select("variant_id", "contig", F.col("pos").cast("long").alias("pos"), "ref", "alt")
+    # contig names may hold "_" themselves: the last three parts are pos, ref and alt
     parts = F.split("variant_id", "_")
+    parts = F.concat(F.array(F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 3), "_")), F.slice(parts, -3, 3))
     return ref.loadings.select("variant_id", parts.getItem(0).alias("contig"),
                                parts.getItem(1).cast("long").alias("pos"),
                                parts.getItem(2).alias("ref"), parts.getItem(3).alias("alt"))
