@@ -155,15 +155,15 @@ gc AS (SELECT sid,
    CAST(sum(CASE WHEN a1 = 0 AND a2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_hom_ref,
    CAST(sum(CASE WHEN a1 = a2 AND a1 > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_hom_var
   FROM pcall GROUP BY sid)
-SELECT gc.sid, n_het, n_hom_ref, n_hom_var, coalesce(n_snp, 0) AS n_snp, coalesce(n_insertion, 0) AS n_insertion,
+SELECT m.sid, coalesce(n_het, 0) AS n_het, coalesce(n_hom_ref, 0) AS n_hom_ref, coalesce(n_hom_var, 0) AS n_hom_var, coalesce(n_snp, 0) AS n_snp, coalesce(n_insertion, 0) AS n_insertion,
        coalesce(n_deletion, 0) AS n_deletion, coalesce(n_ti, 0) AS n_ti, coalesce(n_tv, 0) AS n_tv,
        coalesce(n_singleton, 0) AS n_singleton,
        round(CASE WHEN n_tv > 0 THEN n_ti / CAST(n_tv AS DOUBLE) END, 6) AS ti_tv,
        round(CASE WHEN i3 > 0 THEN i12 / CAST(i3 AS DOUBLE) END, 6) AS indel_1_2_to_3
-FROM gc LEFT JOIN pa ON gc.sid = pa.sid LEFT JOIN sg ON gc.sid = sg.sid""")
+FROM fx_sample m LEFT JOIN gc ON m.sid = gc.sid LEFT JOIN pa ON m.sid = pa.sid LEFT JOIN sg ON m.sid = sg.sid""")
 def q_sample_qc(spark, sf_dir):
     f = fx(spark, sf_dir)
-    return rounded(C.sample_qc(parsed_calls(f), f.fx_site))
+    return rounded(C.sample_qc(parsed_calls(f), f.fx_site, samples=f.fx_sample))
 
 
 @register("qc_roll_sum", "WITH " + SQL_CARRIED + """,
@@ -188,9 +188,9 @@ def q_qc_roll_sum(spark, sf_dir):
 
 
 @register("site_allele_counts", "WITH " + SQL_CARRIED + """
-SELECT vid, CAST(sum(CASE WHEN length(alt) = length(ref) THEN 1 ELSE 0 END) AS BIGINT) AS snp_copies,
-       CAST(sum(CASE WHEN length(alt) <> length(ref) THEN 1 ELSE 0 END) AS BIGINT) AS indel_copies
-FROM carried GROUP BY vid""")
+SELECT s.vid, count(c.vid) FILTER (length(c.alt) = length(c.ref)) AS snp_copies,
+       count(c.vid) FILTER (length(c.alt) <> length(c.ref)) AS indel_copies
+FROM fx_site s LEFT JOIN carried c ON s.vid = c.vid GROUP BY s.vid""")
 def q_site_allele_counts(spark, sf_dir):
     f = fx(spark, sf_dir)
     return C.site_allele_counts(parsed_calls(f), f.fx_site)
@@ -200,7 +200,8 @@ def q_site_allele_counts(spark, sf_dir):
 ext AS (SELECT contig, min(pos) AS mn, max(pos) AS mx FROM fx_site GROUP BY contig),
 b AS (SELECT c.contig, CASE WHEN e.mx = e.mn THEN 0 ELSE least(CAST(floor((c.pos - e.mn) * 30 / CAST(e.mx - e.mn AS DOUBLE)) AS BIGINT), 29) END AS bin
       FROM carried c JOIN ext e ON c.contig = e.contig WHERE length(c.alt) = length(c.ref))
-SELECT contig, bin, count(*) AS snp_copies FROM b GROUP BY contig, bin""")
+SELECT a.contig, a.bin, count(b.bin) AS snp_copies FROM (SELECT contig, unnest(range(0, 30)) AS bin FROM ext) a
+LEFT JOIN b ON a.contig = b.contig AND a.bin = b.bin GROUP BY a.contig, a.bin""")
 def q_position_density(spark, sf_dir):
     f = fx(spark, sf_dir)
     c = C.carrier_rows(parsed_calls(f), f.fx_site).join(f.fx_site.select("vid", "contig", "pos"), "vid")
@@ -210,10 +211,10 @@ def q_position_density(spark, sf_dir):
 
 @register("metric_histogram", """
 WITH ext AS (SELECT s.contig, min(c.dp) AS mn, max(c.dp) AS mx FROM fx_call c JOIN fx_site s ON c.vid = s.vid GROUP BY s.contig)
-SELECT contig, bin, count(*) AS n FROM (
+SELECT a.contig, a.bin, count(t.bin) AS n FROM (SELECT contig, unnest(range(0, 20)) AS bin FROM ext) a LEFT JOIN (
   SELECT s.contig, CASE WHEN e.mx = e.mn THEN 0 ELSE least(CAST(floor((c.dp - e.mn) * 20 / CAST(e.mx - e.mn AS DOUBLE)) AS BIGINT), 19) END AS bin
-  FROM fx_call c JOIN fx_site s ON c.vid = s.vid JOIN ext e ON s.contig = e.contig) t
-GROUP BY contig, bin""")
+  FROM fx_call c JOIN fx_site s ON c.vid = s.vid JOIN ext e ON s.contig = e.contig) t ON a.contig = t.contig AND a.bin = t.bin
+GROUP BY a.contig, a.bin""")
 def q_metric_histogram(spark, sf_dir):
     f = fx(spark, sf_dir)
     v = f.fx_call.join(f.fx_site.select("vid", "contig"), "vid")

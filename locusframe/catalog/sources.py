@@ -145,7 +145,7 @@ def q_vcf_write_shards(spark, sf_dir):
     f = fx(spark, sf_dir)
     rec = _fixture_records(f).withColumns({"_rk": IV.natural_contig_rank("contig"),
                                            "_bk": F.floor(F.col("pos") / 1_000_000).cast("long")})
-    rec = row_index(rec, [], ["_rk", "_bk"], ["pos", "vid"], out="_i") \
+    rec = row_index(rec, [], ["_rk", "contig", "_bk"], ["pos", "vid"], out="_i") \
         .withColumn("shard", F.floor(F.col("_i") / SHARD_RECORDS).cast("long"))
     hdr = V.header_lines([(c, HG38_LENGTHS.get(c)) for c in HEADER_CONTIGS], _sample_names(f), META)
     path = V.write_vcf(rec, hdr, scratch_path(spark, "vcf-shards"), shard="shard", order=["_rk", "pos", "vid"])

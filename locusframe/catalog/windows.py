@@ -87,7 +87,8 @@ FROM fx_site""")
 def q_record_shards(spark, sf_dir):
     s = fx(spark, sf_dir).fx_site.select("vid", "contig", "pos").withColumns({
         "_rk": IV.natural_contig_rank("contig"), "_bk": F.floor(F.col("pos") / 1_000_000).cast("long")})
-    r = row_index(s, [], ["_rk", "_bk"], ["pos", "vid"], out="_i")
+    # contigs of equal rank (all without a number, X, Y or M) go by name
+    r = row_index(s, [], ["_rk", "contig", "_bk"], ["pos", "vid"], out="_i")
     return r.select("vid", F.floor(F.col("_i") / SHARD_RECORDS).cast("long").alias("shard"))
 
 

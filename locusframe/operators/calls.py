@@ -163,8 +163,8 @@ def carrier_rows(calls: DataFrame, sites: DataFrame, key: str = "vid") -> DataFr
             .withColumn("vclass", G.variant_class("ref", "alt")))
 
 
-def sample_qc(calls: DataFrame, sites: DataFrame, key: str = "vid") -> DataFrame:
-    """Per sample: n_snp, n_insertion, n_deletion, n_het, n_hom_ref,
+def sample_qc(calls: DataFrame, sites: DataFrame, key: str = "vid", samples: DataFrame | None = None) -> DataFrame:
+    """Per sample (of ``samples``, if given: those without a call have zeros): n_snp, n_insertion, n_deletion, n_het, n_hom_ref,
     n_hom_var, n_singleton, n_ti, n_tv, ti_tv, indel_1_2_to_3 ratio.
 
     Allele classes come from the decomposed ALT each carried copy belongs to;
@@ -190,8 +190,10 @@ def sample_qc(calls: DataFrame, sites: DataFrame, key: str = "vid") -> DataFrame
         F.sum(F.when(both & (F.col("a1") != F.col("a2")), 1).otherwise(0)).cast("long").alias("n_het"),
         F.sum(F.when(both & (F.col("a1") == 0) & (F.col("a2") == 0), 1).otherwise(0)).cast("long").alias("n_hom_ref"),
         F.sum(F.when(both & (F.col("a1") == F.col("a2")) & (F.col("a1") > 0), 1).otherwise(0)).cast("long").alias("n_hom_var"))
+    if samples is not None:
+        gclass = samples.select("sid").distinct().join(gclass, "sid", "left")
     out = (gclass.join(per_alt, "sid", "left").join(singles, "sid", "left")
-           .fillna(0, ["n_snp", "n_insertion", "n_deletion", "n_ti", "n_tv", "_i12", "_i3", "n_singleton"]))
+           .fillna(0, ["n_het", "n_hom_ref", "n_hom_var", "n_snp", "n_insertion", "n_deletion", "n_ti", "n_tv", "_i12", "_i3", "n_singleton"]))
     return (out.withColumns({
         "ti_tv": F.when(F.col("n_tv") > 0, F.col("n_ti") / F.col("n_tv")),
         "indel_1_2_to_3": F.when(F.col("_i3") > 0, F.col("_i12") / F.col("_i3"))})
@@ -200,9 +202,10 @@ def sample_qc(calls: DataFrame, sites: DataFrame, key: str = "vid") -> DataFrame
 
 def site_allele_counts(calls: DataFrame, sites: DataFrame, key: str = "vid") -> DataFrame:
     """Non-reference allele copies per site split into SNP and indel copies
-    (indel = ALT length differs from REF)."""
+    (indel = ALT length differs from REF); zeros where nobody carries one."""
     c = carrier_rows(calls, sites, key)
     indel = F.length("alt") != F.length("ref")
-    return c.groupBy(key).agg(
+    counts = c.groupBy(key).agg(
         F.sum(F.when(~indel, 1).otherwise(0)).cast("long").alias("snp_copies"),
         F.sum(F.when(indel, 1).otherwise(0)).cast("long").alias("indel_copies"))
+    return sites.select(key).distinct().join(counts, key, "left").fillna(0, ["snp_copies", "indel_copies"])

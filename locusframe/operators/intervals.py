@@ -99,7 +99,7 @@ def buffered_islands(positions: DataFrame, buffer: int, contig: str = "contig",
 def equal_span_regions(islands: DataFrame, contig_rank: DataFrame, max_span: int,
                        contig: str = "contig", start: str = "start", end: str = "end",
                        width: int = 10_000_000) -> DataFrame:
-    """Cut the islands, concatenated in (contig rank, start) order, into N =
+    """Cut the islands, concatenated in (contig rank, contig, start) order, into N =
     ceil(S / max_span) pieces of T = ceil(S / N) span (S = total span,
     span = end - start); one output row per (region, contig) with the lowest
     start and highest end of the pieces there.  ``contig_rank`` has
@@ -111,7 +111,7 @@ def equal_span_regions(islands: DataFrame, contig_rank: DataFrame, max_span: int
     n = math.ceil(total / max_span)
     t = math.ceil(total / n)
     isl = isl.withColumn("_bk", F.floor(F.col(start) / width).cast("long"))
-    isl = prefix_scan(isl, [], ["rank", "_bk"], [start], (F.col(end) - F.col(start)).cast("long"),
+    isl = prefix_scan(isl, [], ["rank", contig, "_bk"], [start], (F.col(end) - F.col(start)).cast("long"),
                       "sum", inclusive=False, out="_c0")
     span = F.col(end) - F.col(start)
     k = F.explode(F.sequence(F.floor(F.col("_c0") / t).cast("long"),

@@ -15,25 +15,35 @@ def _bin(v, mn, mx, n_bins: int):
 
 def metric_histogram(df: DataFrame, value: str, n_bins: int = 20, by: list[str] | None = None) -> DataFrame:
     """Equal-width histogram of ``value`` per group (bins span the group's
-    min..max; the max falls in the last bin)."""
+    min..max; the max falls in the last bin). Every group has all its bins,
+    empty ones with 0; a group without any value has none."""
     by = by or []
-    ext = df.groupBy(*by).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
+    df = df.where(F.col(value).isNotNull())
+    ext = df.groupBy(*by).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx")).where("_mn IS NOT NULL")
     if by:
         j = df.join(broadcast_checked(ext), by)
     else:  # one extent row: broadcast it (proven size 1) on a constant key
         j = df.withColumn("_k", F.lit(1)).join(F.broadcast(ext.withColumn("_k", F.lit(1))), "_k").drop("_k")
     b = j.select(*by, _bin(F.col(value), F.col("_mn"), F.col("_mx"), n_bins).alias("bin"))
-    return b.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    return _all_bins(ext, b, by, n_bins, "n")
+
+
+def _all_bins(ext: DataFrame, binned: DataFrame, by: list[str], n_bins: int, out: str) -> DataFrame:
+    """Rows per bin of every group of ``ext``, empty bins included: one empty
+    row per bin is added before counting, so no join is needed."""
+    empty = ext.select(*by, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_bins - 1).cast("long"))).alias("bin"), F.lit(0).alias("_one"))
+    rows = binned.select(*by, "bin", F.lit(1).alias("_one")).unionByName(empty)
+    return rows.groupBy(*by, "bin").agg(F.sum("_one").cast("long").alias(out))
 
 
 def position_density(points: DataFrame, sites: DataFrame, n_bins: int = 30, contig: str = "contig",
                      pos: str = "pos", out: str = "snp_copies") -> DataFrame:
     """Count of ``points`` rows in ``n_bins`` equal bins spanning each
-    contig's site positions (min..max)."""
+    contig's site positions (min..max), empty bins with 0."""
     ext = sites.groupBy(contig).agg(F.min(pos).alias("_mn"), F.max(pos).alias("_mx"))
     j = points.join(broadcast_checked(ext), contig)
     b = j.select(contig, _bin(F.col(pos), F.col("_mn"), F.col("_mx"), n_bins).alias("bin"))
-    return b.groupBy(contig, "bin").agg(F.count(F.lit(1)).alias(out))
+    return _all_bins(ext, b, [contig], n_bins, out)
 
 
 def depth_coverage(depths: DataFrame, thresholds: list[int], depth: str = "depth") -> DataFrame:

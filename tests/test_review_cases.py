@@ -9,7 +9,9 @@ from locusframe.operators import calls as C
 from locusframe.operators import intervals as IV
 from locusframe.operators.filters import variants_to_table
 from locusframe.operators.scan import row_index
+from locusframe.operators.stats import metric_histogram
 from locusframe.plans import ancestry as PL
+from locusframe.sources.store import variant_store
 from locusframe.sources.vcf import read_vcf
 
 CALLS = "vid bigint, sid bigint, a1 int, a2 int, ploidy int"
@@ -114,3 +116,46 @@ def test_overlaps_of_all_interval_classes(spark, registry):
     out = registry["overlap_join_blocks"].run(spark, SF_SMALL)
     names = {r["name"] for r in out.select("name").distinct().collect()}
     assert names == {"1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"}
+
+
+def test_records_wider_than_the_header_fail(spark, tmp_path):
+    head = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\n"
+    rec = "chr1\t{}\t.\tA\tG\t.\tPASS\t.\tGT\t0/1\t1/1{}\n"
+    (tmp_path / "a.vcf").write_text(head + rec.format(1, "") + rec.format(2, "\t0/1"))
+    with pytest.raises(Exception, match="more entries than its header"):
+        read_vcf(spark, str(tmp_path)).entries.collect()
+    (tmp_path / "a.vcf").write_text(head + rec.format(1, ""))
+    assert [r["sample"] for r in read_vcf(spark, str(tmp_path)).entries.orderBy("col").collect()] == ["s1", "s2"]
+
+
+def test_store_keeps_unlisted_contigs_and_repeated_records(spark, tmp_path):
+    head = "##fileformat=VCFv4.2\n##contig=<ID=chr1>\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\n"
+    rec = "{}\t5\t.\tA\tG,T\t.\tPASS\t.\tGT\t0/1\t{}\n"
+    (tmp_path / "a.vcf").write_text(head + rec.format("chr1", "1/2") + rec.format("chr1", "0/0") + rec.format("chrUn_B", "1/1") + rec.format("chrUn_A", "0/0"))
+    st = variant_store(read_vcf(spark, str(tmp_path)), ["chr1", "chr2"])
+    assert {(r["name"], r["cid"], r["loci"]) for r in st["contig"].collect()} == {("chr1", 0, 2), ("chr2", 1, 0), ("chrUn_A", 2, 1), ("chrUn_B", 3, 1)}
+    got = st["variant"].join(st["locus"], "line").select("line", "cid", "col", "alt").collect()
+    # the two records of chr1 are loci of their own: three carried copies in the first, one in the second
+    assert sorted((r["cid"], r["col"], r["alt"]) for r in got) == sorted(
+        [(0, 0, "G"), (0, 1, "G"), (0, 1, "T"), (0, 0, "G"), (2, 0, "G"), (3, 0, "G"), (3, 1, "G"), (3, 1, "G")])
+    assert len({r["line"] for r in got if r["cid"] == 0}) == 2
+
+
+def test_zero_rows_stay(spark):
+    sites = spark.createDataFrame([(1, "A", "G"), (2, "C", "T")], "vid bigint, ref string, alt string")
+    calls = spark.createDataFrame([(1, 1, 0, 1, 2)], CALLS)
+    samples = spark.createDataFrame([(1,), (7,)], "sid bigint")
+    qc = {r["sid"]: (r["n_het"], r["n_snp"], r["n_singleton"], r["ti_tv"]) for r in C.sample_qc(calls, sites, samples=samples).collect()}
+    assert qc == {1: (1, 1, 1, None), 7: (0, 0, 0, None)}
+    assert {r["vid"]: (r["snp_copies"], r["indel_copies"]) for r in C.site_allele_counts(calls, sites).collect()} == {1: (1, 0), 2: (0, 0)}
+    v = spark.createDataFrame([("a", 0), ("a", 10), ("a", 10), ("b", 3), ("c", None)], "g string, x int")
+    hist = sorted((r["g"], r["bin"], r["n"]) for r in metric_histogram(v, "x", 3, ["g"]).collect())
+    assert hist == [("a", 0, 1), ("a", 1, 0), ("a", 2, 2), ("b", 0, 1), ("b", 1, 0), ("b", 2, 0)]
+    assert sorted((r["bin"], r["n"]) for r in metric_histogram(v, "x", 2).collect()) == [(0, 2), (1, 2)]
+
+
+def test_regions_of_unnamed_contigs_do_not_interleave(spark):
+    isl = spark.createDataFrame([("chrUn_B", 0, 10), ("chrUn_A", 5, 15), ("chrUn_B", 20, 30), ("chrUn_A", 40, 50)], "contig string, start bigint, end bigint")
+    rank = isl.select("contig").distinct().withColumn("rank", IV.natural_contig_rank("contig"))
+    got = sorted(tuple(r) for r in IV.equal_span_regions(isl, rank, 20).collect())
+    assert got == [(0, "chrUn_A", 5, 50), (1, "chrUn_B", 0, 30)]
