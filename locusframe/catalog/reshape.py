@@ -215,7 +215,11 @@ def q_path_rewrite(spark, sf_dir):
     return r.select("tbl", "entity", "col", F.array_join("new_vals", ";").alias("new_vals"))
 
 
-@register("json_path_rewrite")
+@register("json_path_rewrite", """
+SELECT entity, replace('{"cram":"' || cram || '","files":{"itemsType":"AttributeValue","items":["' || cram || '","' || ref_file
+  || '"]},"subject":{"entityType":"sample","entityName":"s' || entity || '"},"peers":{"itemsType":"EntityReference","items":[{"entityType":"sample","entityName":"s'
+  || entity || '"},{"entityType":"sample","entityName":"' || note || '"}]},"extra":{"k":"' || note || '","v":1}}', '"gs://work/', '"gs://archive/work/') AS rewritten
+FROM fx_entity""")
 def q_json_path_rewrite(spark, sf_dir):
     a = _attr_json(fx(spark, sf_dir))
     return JS.json_path_rewrite(a, "attributes", "gs://work/", "gs://archive/work/").select("entity", "rewritten")

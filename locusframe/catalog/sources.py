@@ -304,7 +304,7 @@ def q_list_dir(spark, sf_dir):
     return LS.list_dir(fx(spark, sf_dir).fx_blob, "src1/")
 
 
-@register("checkpoint_stage")
+@register("checkpoint_stage", "SELECT contig, count(*) AS n FROM fx_site GROUP BY contig")
 def q_checkpoint_stage(spark, sf_dir):
     f = fx(spark, sf_dir)
     root = scratch_path(spark, "stages")

@@ -1,15 +1,12 @@
 """JSON attribute handling on Spark's VARIANT type (parse once, walk typed
-values in the JVM) with a pandas UDF only for arbitrary-depth rewriting."""
+values in the JVM); rewriting at any depth is one pattern over the text."""
 
 from __future__ import annotations
 
 import json
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 
 def json_type_name(schema_str) -> F.Column:
@@ -59,23 +56,29 @@ def typed_attributes(df: DataFrame, entity: str, attrs_col: str) -> DataFrame:
     return k.select(F.col(entity), "attr", kind.alias("kind"), value.alias("value"))
 
 
-def _rewrite(obj, prefix: str, new_prefix: str):
-    if isinstance(obj, str):
-        return new_prefix + obj[len(prefix):] if obj.startswith(prefix) else obj
-    if isinstance(obj, list):
-        return [_rewrite(x, prefix, new_prefix) for x in obj]
-    if isinstance(obj, dict):
-        return {_rewrite(k, prefix, new_prefix): _rewrite(v, prefix, new_prefix) for k, v in obj.items()}
-    return obj
+#: Escapes of JSON that a letter of a prefix may also be written with.
+SHORT_ESCAPES = {"/": r"\\/", "\b": r"\\b", "\f": r"\\f", "\n": r"\\n", "\r": r"\\r", "\t": r"\\t", '"': r'\\"', "\\": r"\\\\"}
 
 
-def json_path_rewrite(df: DataFrame, json_col: str, prefix: str, new_prefix: str, out: str = "rewritten") -> DataFrame:
-    """Rewrite every key and string value starting with ``prefix`` inside
-    nested JSON of any depth (Arrow-batched pandas UDF; small per-row helper)."""
+def _spelled(letter: str) -> str:
+    """A pattern for every way JSON text can spell a letter of the basic plane."""
+    code = "".join(f"[{x}{x.upper()}]" if x.isalpha() else x for x in f"{ord(letter):04x}")
+    ways = [rf"\\u{code}"]
+    if letter in SHORT_ESCAPES:
+        ways.append(SHORT_ESCAPES[letter])
+    if letter not in '"\\':
+        ways.append(f"[{letter}]" if letter not in "[]^-&" else "\\" + letter)
+    return "(?:" + "|".join(ways) + ")"
 
-    @pandas_udf(StringType())
-    def rw(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else json.dumps(_rewrite(json.loads(t), prefix, new_prefix),
-                                                               separators=(",", ":")))
 
-    return df.withColumn(out, rw(F.col(json_col)))
+def json_path_rewrite(df: DataFrame, json_col: str, prefix: str, new_prefix: str, out: str = "rewritten") -> DataFrame:
+    """Rewrite every key and string value starting with ``prefix`` inside
+    nested JSON of any depth, by one pattern: a string begins with the quote
+    that stands first or follows ``[``, ``{``, ``,`` or ``:``; within strings
+    quotes are escaped. All else stays as it is written. A prefix that begins
+    with a blank or a mark that may follow a closing quote is an error."""
+    if not prefix or prefix[0] in " \t\r\n,:]}" or max(prefix) > "\uffff":
+        raise ValueError("a prefix must begin with something that cannot follow a closing quote")
+    begin = r'((?:^|[\[{,:])[ \t\r\n]*")'
+    new = json.dumps(new_prefix, ensure_ascii=False)[1:-1].replace("\\", "\\\\").replace("$", "\\$")
+    return df.withColumn(out, F.regexp_replace(F.col(json_col), begin + "".join(map(_spelled, prefix)), "$1" + new))

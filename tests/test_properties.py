@@ -4,6 +4,7 @@ import json
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -97,6 +98,24 @@ def test_json_path_rewrite(spark):
     assert out == {"gs://arch/a": ["gs://arch/b", {"k": "gs://arch/c", "n": 1}], "x": "gs://other/d"}
 
 
+def test_json_path_rewrite_at_any_spelling(spark):
+    from locusframe.operators.jsonops import json_path_rewrite
+    odd = 'a"b\\c/[x]^-$1'
+    docs = [r'{"t":"gs:\/\/work\/a", "u" : "\u0067s://work/b","n":1.50,"m":"x,\"gs://work/no"}', '"gs://work/top"', ' [ "gs://work/1" ]',
+            r'{"a":"say \"gs://work/not\"","b":":","c":"gs://work/"}', None, "", json.dumps([odd + "tail", {odd: odd}, "z" + odd])]
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, j string")
+    new = 'new$1\\"/'
+    got = {r["i"]: r["rewritten"] for r in json_path_rewrite(df, "j", "gs://work/", new).collect()}
+    assert json.loads(got[0]) == {"t": new + "a", "u": new + "b", "n": 1.5, "m": 'x,"gs://work/no'} and "1.50" in got[0]
+    assert json.loads(got[1]) == new + "top" and json.loads(got[2]) == [new + "1"]
+    assert json.loads(got[3]) == {"a": 'say "gs://work/not"', "b": ":", "c": new}
+    assert got[4] is None and got[5] == ""
+    last = json_path_rewrite(df.where("i = 6"), "j", odd, "é").first()["rewritten"]
+    assert json.loads(last) == ["étail", {"é": "é"}, "z" + odd]
+    with pytest.raises(ValueError):
+        json_path_rewrite(df, "j", ",x", "y")
+
+
 def test_rows_only_queries_run(spark, registry):
     for key in ("json_path_rewrite", "checkpoint_stage", "rf_train", "rf_predict", "pca_allele_weights"):
         assert registry[key].run(spark, SF_SMALL).count() > 0, key
