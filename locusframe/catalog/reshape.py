@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from locusframe.catalog import register
 from locusframe.catalog._common import SQL_DCALL, fx, parsed_calls, rounded
 from locusframe.catalog.aggregates import SQL_CARRIED, SQL_CLASS
+from locusframe.functions import udtf as UD
 from locusframe.operators import calls as C
 from locusframe.operators import entities as EN
 from locusframe.operators import fields as FL
@@ -23,6 +24,15 @@ def q_decompose(spark, sf_dir):
     return C.decompose(parsed_calls(f), f.fx_site).select("vid", "allele", "sid", "alt", "r1", "r2")
 
 
+@register("decompose_udtf", "WITH " + SQL_DCALL + " SELECT vid, sid, ref, allele, alt, r1, r2 FROM dcall")
+def q_decompose_udtf(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    UD.register(spark)
+    return spark.sql("""SELECT vid, sid, ref, CAST(allele AS BIGINT) AS allele, alt, r1, r2 FROM decompose(TABLE(
+                          SELECT c.vid, c.sid, c.a1, c.a2, s.ref, s.alt FROM {calls} c JOIN {sites} s ON c.vid = s.vid))""",
+                     calls=parsed_calls(f), sites=f.fx_site)
+
+
 @register("normalize_trim", """
 WITH salt AS (SELECT vid, pos - 1 AS pos, 'T' || ref || 'G' AS ref, 'T' || string_split(alt, ',')[i] || 'G' AS alt, i AS allele
               FROM (SELECT *, unnest(range(1, len(string_split(alt, ',')) + 1)) AS i FROM fx_site) x),
