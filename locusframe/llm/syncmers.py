@@ -8,6 +8,12 @@ the smallest hash is its first or its last. The choice looks at the k words
 alone, so an edit elsewhere moves no anchor. The fingerprint is the set of all
 anchors' 32-bit hashes. Everything is built-in functions.
 
+Two texts are compared by their sets of anchors (``likeness``) and by position
+(``aligned``): anchors that both have are matched, and the most common
+difference of their places tells how much of the shorter text stands in the
+other in one piece. An insertion splits a text into pieces of two
+differences; paragraphs in another order are alike but not aligned.
+
 Defined results
 * Null text counts as empty. A text without words has an empty fingerprint;
   two empty fingerprints are alike (1.0), an empty and another are not (0.0).
@@ -77,9 +83,48 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) ->
     return df.withColumn(out, anchors).drop("_words", "_inner", "_starts", "_chosen")
 
 
+PLACE_BITS = 30
+PLACES, SECOND = (1 << PLACE_BITS) - 1, 1 << PLACE_BITS
+
+
+def packed(anchors: Column) -> Column:
+    """Anchors as whole numbers: hash, a bit for the side, and the place."""
+    return F.transform(anchors, lambda a: F.shiftleft(a["hash"], PLACE_BITS + 1) + a["pos"])
+
+
 def sketch(anchors: Column) -> Column:
-    """All distinct anchor hashes, ascending."""
-    return F.sort_array(F.array_distinct(F.transform(anchors, lambda a: a["hash"])))
+    """All distinct hashes of packed anchors, ascending."""
+    return F.sort_array(F.array_distinct(F.transform(anchors, lambda a: F.shiftright(a, PLACE_BITS + 1))))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, not in every step of a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def aligned(a: Column, b: Column, smaller: Column) -> Column:
+    """Share of the ``smaller`` number of distinct anchors that lie at the most
+    common shift between two lists of packed anchors. An anchor that a text
+    has more than once counts at its first place."""
+    # in one order by hash, a's places falling before b's rising: first places of both lie side by side
+    both = F.sort_array(F.concat(F.transform(a, lambda x: x.bitwiseXOR(F.lit(PLACES))), F.transform(b, lambda x: x.bitwiseOR(F.lit(SECOND)))))
+
+    def shift(m: Column, i: Column) -> Column:
+        x, y = F.get(m, i), F.get(m, i + 1)
+        side = F.shiftright(x, PLACE_BITS)
+        met = (side.bitwiseAND(F.lit(1)) == 0) & (F.shiftright(y, PLACE_BITS) == side + 1)
+        return F.when(met, y.bitwiseAND(F.lit(PLACES)) - x.bitwiseXOR(F.lit(PLACES)).bitwiseAND(F.lit(PLACES)))
+
+    shifts = _bound(both, lambda m: F.array_compact(F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(m) - 2, F.lit(0))), lambda i: shift(m, i))))
+    start = F.struct(F.lit(None).cast("long").alias("at"), F.lit(0).alias("n"), F.lit(0).alias("best"))
+
+    def step(s: Column, d: Column) -> Column:
+        n = F.when(s["at"] == d, s["n"] + 1).otherwise(1)
+        return F.struct(d.alias("at"), n.alias("n"), F.greatest(s["best"], n).alias("best"))
+
+    most = F.aggregate(F.sort_array(shifts), start, step, lambda s: s["best"])
+    return F.when(smaller > 0, most / smaller).otherwise(F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(0.0))
 
 
 def as_string(values: Column) -> Column:
@@ -93,11 +138,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(joint == 0, F.lit(1.0)).otherwise(both / joint)
 
 
-def aligned_share(a: Column, b: Column) -> Column:
-    """Share of the anchors of ``a`` that ``b`` has at the same word."""
-    return F.when(F.size(a) == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_distinct(a)))
-
-
 def _buckets(docs: DataFrame, rows_per_bucket: int) -> tuple[Column, int]:
     """A bucket number that grows with doc_id: at most QUANTILES intervals of
     nearly equal row counts, each cut further into equal widths if there are
@@ -139,12 +179,12 @@ def dealt(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, k: int = K, s: int = S, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Per document: doc_id, text, ``sketch``; and ``next`` (text, sketch) of
+    """Per document: doc_id, text, ``anchors`` (packed); and ``next`` (text, anchors) of
     the next row in descending doc_id order, after the last row the first."""
-    rows = dealt(docs, rows_per_bucket).repartition("_bucket")  # texts alone are shuffled, sketches are not
-    rows = with_anchors(rows, "text", "_a", k, s).withColumn("sketch", sketch(F.col("_a")))
+    rows = dealt(docs, rows_per_bucket).repartition("_bucket")  # texts alone are shuffled, anchors are not
+    rows = with_anchors(rows, "text", "_a", k, s).withColumn("anchors", packed(F.col("_a")))
     w = Window.partitionBy("_bucket").orderBy("_copy", F.desc("doc_id"), "text")
-    nxt = F.struct(F.lead("text").over(w).alias("text"), F.lead("sketch").over(w).alias("sketch"))
+    nxt = F.struct(F.lead("text").over(w).alias("text"), F.lead("anchors").over(w).alias("anchors"))
     return rows.drop("_a").withColumn("next", nxt).filter("_copy = 0").drop("_bucket", "_copy")
 
 
@@ -159,9 +199,11 @@ def edited(df: DataFrame) -> DataFrame:
 def compare_edits(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they
     and the next document's fingerprint are."""
-    df = with_anchors(edited(fingerprints(docs, rows_per_bucket=rows_per_bucket)), "edited", "_a").withColumn("edited_sketch", sketch(F.col("_a")))
+    df = with_anchors(edited(fingerprints(docs, rows_per_bucket=rows_per_bucket)), "edited", "_a").withColumn("_e", packed(F.col("_a")))
+    df = df.withColumns({"sketch": sketch(F.col("anchors")), "_es": sketch(F.col("_e")), "_ns": sketch(F.col("next.anchors"))})
+    own, there, then = F.col("sketch"), F.col("_es"), F.col("_ns")
     return df.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                     as_string(F.col("sketch")).alias("fingerprint"),
-                     as_string(F.col("edited_sketch")).alias("edited_fingerprint"),
-                     likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-                     likeness(F.col("sketch"), F.col("next.sketch")).alias("near_next"))
+                     as_string(own).alias("fingerprint"), as_string(there).alias("edited_fingerprint"),
+                     likeness(own, there).alias("near_edited"), likeness(own, then).alias("near_next"),
+                     aligned(F.col("anchors"), F.col("_e"), F.least(F.size(own), F.size(there))).alias("aligned_edited"),
+                     aligned(F.col("anchors"), F.col("next.anchors"), F.least(F.size(own), F.size(then))).alias("aligned_next"))

@@ -281,6 +281,36 @@ def test_syncmers_cover_long_texts(spark):
     assert 0.98 < got[0]["near_next"] < 1 and 0 < got[1]["near_next"] < 0.05 and 0 < got[2]["near_next"] < 0.05
 
 
+def brute_aligned(a, b):
+    first = lambda x: {h: min(p for p, g in x if g == h) for _, h in x}
+    a, b = first(a), first(b)
+    if not a or not b:
+        return 1.0 if not a and not b else 0.0
+    shifts = Counter(b[h] - a[h] for h in set(a) & set(b))
+    return max(shifts.values(), default=0) / min(len(a), len(b))
+
+
+def test_syncmer_positions(spark):
+    rng = random.Random(12)
+    paragraphs = [[f"w{rng.randrange(10**9)}" for _ in range(50)] for _ in range(40)]
+    other = [f"v{rng.randrange(10**9)}" for _ in range(2000)]
+    words = sum(paragraphs, [])
+    mixed = sum(rng.sample(paragraphs, 40), [])
+    put = words[:700] + ["put", "in", "here"] + words[700:]
+    tail = other[:10] + words
+    texts = [" ".join(x) for x in (words, mixed, words, put, words, tail, words, words, other, [], ["a"] * 60)] + [None, ""]
+    ids = list(range(len(texts), 0, -1))
+    got = syncmers.compare_edits(frame(spark, texts, ids)).orderBy(F.desc("doc_id")).collect()
+    near, at = [r["near_next"] for r in got], [r["aligned_next"] for r in got]
+    assert near[0] > 0.8 and at[0] < 0.2          # the same paragraphs in another order
+    assert near[2] > 0.98 and 0.6 < at[2] < 0.7   # three words put in after 700 of 2,000
+    assert near[4] > 0.98 and at[4] > 0.99        # all moved by ten words
+    assert (near[6], at[6]) == (1.0, 1.0) and at[7] < 0.01 and at[11] == 1.0 and at[9] == 0.0
+    found = {r["doc_id"]: [tuple(a) for a in r["a"]] for r in syncmers.with_anchors(frame(spark, [t or "" for t in texts], ids), "text", "a").collect()}
+    for i, r in enumerate(got):
+        assert abs(r["aligned_next"] - brute_aligned(found[ids[i]], found[ids[(i + 1) % len(ids)]])) < 1e-12
+
+
 def test_syncmers_without_blanks(spark):
     rng = random.Random(10)
     han = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(1500))
