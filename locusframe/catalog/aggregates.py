@@ -63,7 +63,8 @@ from locusframe.operators import text as TX  # noqa: E402
 from locusframe.operators.reads import read_count_of  # noqa: E402
 from locusframe.operators.scores import polygenic_score  # noqa: E402
 from locusframe.operators.dedupe import dedupe_exclude_all, duplicate_ids, unique_in_order  # noqa: E402
-from locusframe.operators.stats import depth_coverage, metric_histogram, position_density  # noqa: E402
+from locusframe.operators.stats import (coverage_of_rows, cumulative_depths, depth_coverage, metric_histogram,  # noqa: E402
+                                        position_density)
 
 SQL_CARRIED = SQL_PCALL + ",\n" + """carried AS (
   SELECT c.vid, c.sid, a AS allele, s.ref, string_split(s.alt, ',')[a] AS alt, s.contig, s.pos
@@ -372,6 +373,26 @@ def q_depth_coverage(spark, sf_dir):
     return rounded(depth_coverage(fx(spark, sf_dir).fx_depth, [20, 50, 100, 150]))
 
 
+@register("depth_rows", """
+WITH g AS (SELECT gene % 10 AS panel, depth FROM fx_depth)
+SELECT panel, t AS threshold, round(count(*) FILTER (depth >= t) / CAST(count(*) AS DOUBLE), 6) AS share
+FROM g, (SELECT unnest([0, 1, 20, 50, 100, 150, 199]) AS t) th GROUP BY panel, t""")
+def q_depth_rows(spark, sf_dir):
+    d = fx(spark, sf_dir).fx_depth.select((F.col("gene") % 10).alias("panel"), "depth")
+    return rounded(coverage_of_rows(cumulative_depths(d, "panel"), "panel", [0, 1, 20, 50, 100, 150, 199]))
+
+
+@register("words_by_count", """
+WITH wc AS (SELECT word, count(*) AS n FROM (
+  SELECT lower(trim(w, '.,();:')) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[\\s-]')) AS w FROM documents) a) b
+  WHERE length(word) > 0 GROUP BY word),
+r AS (SELECT word, n, (row_number() OVER (PARTITION BY n ORDER BY encode(word)) - 1) // 500 AS chunk FROM wc)
+SELECT n, chunk, count(*) AS n_words, string_agg(word, ' ' ORDER BY encode(word)) AS words FROM r GROUP BY n, chunk""")
+def q_words_by_count(spark, sf_dir):
+    w = TX.words_by_count(TX.word_count(TX.words(fx(spark, sf_dir).documents)), 500)
+    return w.select("n", "chunk", F.size("words").cast("long").alias("n_words"), F.array_join("words", " ").alias("words"))
+
+
 @register("unique_in_order", """
 SELECT contig, min(vid) AS first_line, row_number() OVER (ORDER BY min(vid)) AS ord FROM fx_site GROUP BY contig""")
 def q_unique_in_order(spark, sf_dir):

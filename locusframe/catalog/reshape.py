@@ -268,6 +268,14 @@ def q_shard_transpose(spark, sf_dir):
         .select(F.col("shard").cast("long").alias("shard"), "sample", "file")
 
 
+@register("shard_lists", """
+SELECT i - 1 AS shard, array_to_string(list(sample || '.region' || (i - 1) || '.g.vcf.gz' ORDER BY sample), ' ') AS files
+FROM (SELECT sample, unnest(range(1, 6)) AS i FROM fx_sample) t GROUP BY i""")
+def q_shard_lists(spark, sf_dir):
+    cells = q_shard_transpose(spark, sf_dir)
+    return RS.shard_lists(cells, row="sample").select("shard", F.array_join("files", " ").alias("files"))
+
+
 # The labels of the embeddings and the contigs of the fixture sites.
 LABELS = [str(i) for i in range(10)]
 AUTOSOMES = [f"chr{i}" for i in range(1, 23)]

@@ -46,6 +46,13 @@ def shard_transpose(df: DataFrame, row: str, files: str) -> DataFrame:
     return df.select(row, F.posexplode(files).alias("shard", "file"))
 
 
+def shard_lists(cells: DataFrame, shard: str = "shard", row: str = "row", file: str = "file") -> DataFrame:
+    """The whole transpose: per shard the files of all rows (samples), in the
+    order of the row's name. A list is as long as the cohort is wide."""
+    one = F.sort_array(F.collect_list(F.struct(row, file)))
+    return cells.groupBy(shard).agg(one.alias("_l")).select(shard, F.col(f"_l.{file}").alias("files"))
+
+
 def pivot_wide(df: DataFrame, index: list[str], column: str, value: str, values: list | None = None) -> DataFrame:
     """One column per distinct value of ``column`` (bounded domains only:
     contigs, labels, statistics).  With ``values`` the columns are fixed, and

@@ -53,6 +53,33 @@ def depth_coverage(depths: DataFrame, thresholds: list[int], depth: str = "depth
         F.avg(F.when(F.col(depth) >= F.col("threshold"), 1.0).otherwise(0.0)).alias("share"))
 
 
+def cumulative_depths(depths: DataFrame, key: str, depth: str = "depth", most: int = 500) -> DataFrame:
+    """One row per key: ``cum``, an array of ``most`` + 1 counts; place d holds
+    the rows with at least that depth (deeper ones count up to ``most``). Only
+    counts per depth meet, at most ``most`` + 1 a key."""
+    capped = F.least(F.greatest(F.col(depth), F.lit(0)), F.lit(most)).cast("int")
+    n = depths.where(F.col(depth).isNotNull()).groupBy(key, capped.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    g = n.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_d", "_n")), asc=False).alias("_a"))
+    # from the deepest down: the running count, held at every depth down to the next one
+    start = F.struct(F.expr("cast(array() as array<bigint>)").alias("cum"), F.lit(0).cast("long").alias("n"))
+
+    def step(s, x):
+        gap = F.lit(most) - x["_d"] - F.size(s["cum"])
+        total = s["n"] + x["_n"]
+        return F.struct(F.concat(s["cum"], F.array_repeat(s["n"], gap), F.array(total)).alias("cum"), total.alias("n"))
+
+    done = F.aggregate("_a", start, step, lambda s: F.concat(s["cum"], F.array_repeat(s["n"], F.lit(most + 1) - F.size(s["cum"]))))
+    return g.select(key, F.reverse(done).alias("cum"))
+
+
+def coverage_of_rows(rows: DataFrame, key: str, thresholds: list[int], cum: str = "cum") -> DataFrame:
+    """Share of bases at each threshold from cumulative rows (place 0: all);
+    a threshold beyond the row, and a row of zeros, give null."""
+    t = F.explode(F.array(*[F.lit(x) for x in thresholds])).alias("threshold")
+    share = F.when(F.get(cum, F.lit(0)) > 0, F.get(cum, F.col("threshold")) / F.get(cum, F.lit(0)))
+    return rows.select(key, cum, t).select(key, "threshold", share.alias("share"))
+
+
 def per_contig_sample_counts(carried: DataFrame) -> DataFrame:
     """Per (sample, contig): insertion, deletion, transition, transversion
     copies from carried-allele rows with ``vclass``."""

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe.operators.scan import row_index
+
 # Separators and the characters stripped from word ends.
 WORD_SPLIT = r"(?U)[\s-]"
 STRIP_CHARS = ".,();:"
@@ -44,6 +46,15 @@ def count_spectrum(wc: DataFrame) -> DataFrame:
                                F.sum(F.length("word")).cast("long").alias("n_chars"))
 
 
+def words_by_count(wc: DataFrame, chunk: int = 1000) -> DataFrame:
+    """The inverse of a word count: (n, chunk, words), words of one count in
+    order, in lists of at most ``chunk`` words; most words share the count
+    of one, so a count alone would be one huge group."""
+    placed = row_index(wc.withColumn("_head", F.substring("word", 1, 2)), ["n"], ["_head"], ["word"], "_at")
+    g = placed.groupBy("n", F.floor(F.col("_at") / chunk).cast("long").alias("chunk"))
+    return g.agg(F.sort_array(F.collect_list("word")).alias("words"))
+
+
 def length_median_mass(w: DataFrame, col: str = "word") -> DataFrame:
     """Median word length (numpy convention: mean of the two middle values
     for an even count) and total characters in words whose length is equal
