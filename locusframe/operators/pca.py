@@ -13,6 +13,7 @@ batch. The variant loadings are computed distributed.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,8 @@ from locusframe.session import cut_lineage
 EXTRA = 10  # vectors beyond the wanted ones
 TOLERANCE, ROUNDS = 1e-8, 300
 SUM_BLOCK = 512  # samples of a partial sum that travel as one row
+BATCH_BYTES, FIRST_ROWS = 32 << 20, 256  # of an Arrow batch; rows while their width is not known
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def hwe_normalize(arrs: DataFrame, m: int | None = None, key: str = "vid") -> DataFrame:
@@ -45,8 +48,35 @@ def hwe_normalize(arrs: DataFrame, m: int | None = None, key: str = "vid") -> Da
     return v.select(key, "idx", "af", z.alias("z"))
 
 
+@contextmanager
+def _arrow_rows(spark, rows: int):
+    """At most ``rows`` rows in an Arrow batch: a row is as wide as the cohort."""
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(max(1, rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
+def _as_bytes(norm: DataFrame) -> DataFrame:
+    """``z`` as the bytes of its doubles: read in every round, they reach
+    numpy without a conversion of each number."""
+    def run(it):
+        for b in it:
+            b["z"] = [np.asarray(z, np.float64).tobytes() for z in b["z"]]
+            yield b
+
+    kinds = [T.StructField(f.name, T.BinaryType()) if f.name == "z" else f for f in norm.schema.fields]
+    return norm.mapInPandas(run, T.StructType(kinds))
+
+
+def _rows(b: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(b["z"])).reshape(len(b), -1)
+
+
 def gram_product(norm: DataFrame, q: np.ndarray) -> np.ndarray:
-    """Z'(Z q) for the rows ``z`` of ``norm``: every task sums over its rows,
+    """Z'(Z q) for the rows ``z`` (bytes) of ``norm``: every task sums over its rows,
     partial sums meet by blocks of samples, and what comes back is q's size."""
     spark, (n, width) = norm.sparkSession, q.shape
     sent = spark.sparkContext.broadcast(q)
@@ -55,7 +85,7 @@ def gram_product(norm: DataFrame, q: np.ndarray) -> np.ndarray:
         out = np.zeros((n, width))
         for b in it:
             if len(b):
-                z = np.vstack(b["z"].to_numpy())
+                z = _rows(b)
                 out += z.T @ (z @ sent.value)
         at = range(0, n, SUM_BLOCK)
         yield pd.DataFrame({"block": list(at), "part": [out[a:a + SUM_BLOCK].tobytes() for a in at]})
@@ -117,9 +147,12 @@ def pca_hwe(norm: DataFrame, k: int, key: str = "vid"):
     variant loadings U = Z V / s in Arrow batches. Signs are fixed so that the
     largest-magnitude sample coordinate of each component is positive."""
     spark = norm.sparkSession
-    norm = cut_lineage(norm)  # read again in every round
-    n = norm.select(F.max(F.size("z"))).first()[0] or 0
-    w, V = top_eigenpairs(lambda q: gram_product(norm, q), n, k) if n else (np.zeros(0), np.zeros((0, 0)))
+    with _arrow_rows(spark, FIRST_ROWS):
+        norm = cut_lineage(_as_bytes(norm.select(key, "af", "z")))  # read again in every round
+    n = (norm.select(F.max(F.octet_length("z"))).first()[0] or 0) // 8
+    fit = BATCH_BYTES // (8 * max(n, 1))
+    with _arrow_rows(spark, fit):
+        w, V = top_eigenpairs(lambda q: gram_product(norm, q), n, k) if n else (np.zeros(0), np.zeros((0, 0)))
     w = np.clip(w, 0.0, None)
     signs = np.sign(V[np.abs(V).argmax(axis=0), range(V.shape[1])]) if n else np.zeros(0)
     signs[signs == 0] = 1
@@ -132,13 +165,13 @@ def pca_hwe(norm: DataFrame, k: int, key: str = "vid"):
 
     def loadings_batches(it):
         for pdf in it:
-            z = np.vstack(pdf["z"].to_numpy()) if len(pdf) else np.zeros((0, proj.shape[0]))
-            u = z @ bproj.value
+            u = (_rows(pdf) if len(pdf) else np.zeros((0, proj.shape[0]))) @ bproj.value
             yield pd.DataFrame({key: pdf[key], "af": pdf["af"], "loadings": list(u)})
 
     schema = T.StructType([norm.schema[key], T.StructField("af", T.DoubleType()),
                            T.StructField("loadings", T.ArrayType(T.DoubleType()))])
-    loadings = norm.select(key, "af", "z").mapInPandas(loadings_batches, schema)
+    with _arrow_rows(spark, fit):
+        loadings = cut_lineage(norm.select(key, "af", "z").mapInPandas(loadings_batches, schema))
     return eig, scores, loadings
 
 
