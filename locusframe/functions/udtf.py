@@ -2,8 +2,9 @@
 
 ``decompose(TABLE(...))`` is sugar over :func:`locusframe.operators.calls.decompose`
 for sessions that speak SQL alone: each call of a multi-allelic site becomes one
-row per ALT, alleles recoded to that ALT. It passes calls through Python by
-Arrow batches, so large tables are better served by the DataFrame form, which
+row per ALT, alleles recoded to that ALT. It passes calls through Python row
+by row (with Arrow, Spark makes a batch of what each row gives, which takes ten
+times as long), so large tables are better served by the DataFrame form, which
 stays in the JVM.
 """
 
@@ -45,4 +46,4 @@ class Decompose:
 
 def register(spark: SparkSession) -> None:
     """Makes the table functions known to a session."""
-    spark.udtf.register("decompose", udtf(Decompose, useArrow=True))
+    spark.udtf.register("decompose", udtf(Decompose, useArrow=False))

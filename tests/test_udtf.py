@@ -28,3 +28,11 @@ def test_columns_and_empty(spark):
         spark.sql("SELECT * FROM decompose(TABLE(SELECT a1, a2, ref FROM {t}))", t=none).collect()
     null = spark.createDataFrame([(1, 0, "A", None)], "a1 int, a2 int, ref string, alt string")
     assert spark.sql("SELECT * FROM decompose(TABLE(SELECT * FROM {t}))", t=null).where(F.lit(True)).collect() == []
+
+
+def test_rows_do_not_become_a_batch_each(spark):
+    UD.register(spark)
+    calls = spark.range(3).selectExpr("id", "0 AS a1", "1 AS a2", "'A' AS ref", "'C,G' AS alt")
+    got = spark.sql("SELECT * FROM decompose(TABLE(SELECT * FROM {t}))", t=calls)
+    assert "ArrowEvalPythonUDTF" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 6
