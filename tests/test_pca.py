@@ -47,3 +47,15 @@ def test_no_variants(spark):
     norm = PCA.hwe_normalize(spark.createDataFrame([], "vid bigint, dosages array<double>"))
     eig, scores, load = PCA.pca_hwe(norm, 3)
     assert eig == [] and scores == [] and load.collect() == []
+
+
+def test_no_variant_passes_the_filters(spark):
+    from locusframe.plans import ancestry as PL
+    samples = spark.range(12).selectExpr("id AS sid", "if(id < 6, 'x', 'y') AS population")
+    sites = spark.createDataFrame([(1, "chr1", 5, "A", "C")], "vid long, contig string, pos long, ref string, alt string")
+    calls = spark.createDataFrame([(1, 0, "0/1", 0, 1, 2)], "vid long, sid long, gt string, a1 int, a2 int, ploidy int")
+    scores, loadings, eig = PL.reference_pca(spark, calls, sites, samples, k=3, af_min=0.4)
+    assert sorted(map(tuple, scores.select("sid", "PC1", "PC2", "PC3").collect())) == [(i, 0.0, 0.0, 0.0) for i in range(12)]
+    assert loadings.collect() == [] and eig == [0.0] * 3
+    two = PL.ancestry_round_two(spark, calls, sites, samples.selectExpr("sid", "population AS ancestry", "'r' AS cohort"), ["x", "y"], k=2, af_min=0.4)
+    assert two.where("PC1 = 0 AND PC2 = 0").count() == 12
