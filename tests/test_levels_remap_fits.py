@@ -123,3 +123,13 @@ def test_group_fits_equal_numpy(spark):
     whole = residualize_groups(df, "y", xs).where("residual IS NOT NULL").agg(F.sum("residual")).first()[0]
     assert abs(whole) < 1e-5
     assert fit_groups(df.limit(0), "y", xs, ["g"]).collect() == []
+
+
+def test_points_by_level_broadcasts_no_exploded_points(spark):
+    from locusframe.operators import levels as LV
+    points = spark.range(50).selectExpr("id AS vid", "'chr1' AS contig", "id * 10 AS pos")
+    iv = spark.range(50).selectExpr("'chr1' AS contig", "id * 10 AS start", "id * 10 + 1 AS end", "'k' AS kind")
+    for how in ("inner", "left", "left_semi"):
+        got = LV.points_by_level(points, iv, how=how)
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 50
