@@ -47,7 +47,8 @@ def interval_list_read(spark: SparkSession, path, add_chr: bool = False) -> Data
 
 def interval_list_write(iv: DataFrame, contigs: list[tuple[str, int]], path: str) -> str:
     """BED-style intervals -> interval list with a sequence-dictionary header
-    (@HD, one @SQ per contig), 1-based inclusive, strand '+', one file."""
+    (@HD, one @SQ per contig), 1-based inclusive, strand '+'; sorted parts, the
+    header in the first: in order of name they are one list."""
     spark = iv.sparkSession
     head = ["@HD\tVN:1.6\tSO:coordinate"] + [f"@SQ\tSN:{c}\tLN:{n}" for c, n in contigs]
     hdr = spark.createDataFrame(pd.DataFrame({"_o": range(len(head)), "value": head}))
@@ -58,7 +59,7 @@ def interval_list_write(iv: DataFrame, contigs: list[tuple[str, int]], path: str
                                  F.lit("+"), F.coalesce(F.col("name"), F.lit("."))).alias("value"))
     allr = hdr.select("_o", F.lit(None).cast("int").alias("_rk"), F.lit(None).cast("long").alias("start"), "value") \
         .unionByName(body)
-    allr.orderBy("_o", "_rk", "start").select("value").coalesce(1).write.mode("overwrite").text(path)
+    allr.orderBy("_o", "_rk", "start").select("value").write.mode("overwrite").text(path)
     return path
 
 

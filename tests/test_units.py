@@ -87,3 +87,20 @@ def test_sharded_write_keeps_header_when_empty(spark, tmp_path):
     out = write_vcf(rec, ["##fileformat=VCFv4.2", "#CHROM\tPOS"], str(tmp_path / "o"), shard="shard")
     back = spark.read.text(out).collect()
     assert [r.value for r in back] == ["##fileformat=VCFv4.2", "#CHROM\tPOS"]
+
+
+def test_interval_list_in_sorted_parts(spark, tmp_path):
+    import glob
+
+    from locusframe.sources.tables import interval_list_write
+    iv = spark.range(4000).selectExpr("concat('chr', 1 + id % 2) AS contig", "(id * 37) % 4001 AS start", "(id * 37) % 4001 + 5 AS end", "'n' AS name")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = interval_list_write(iv, [("chr2", 9), ("chr1", 9)], f"{tmp_path}/o")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted(glob.glob(f"{path}/part-*"))
+    lines = [x.split("\t") for p in parts for x in open(p).read().splitlines()]
+    assert len(parts) > 1 and [x[0] for x in lines[:3]] == ["@HD", "@SQ", "@SQ"] and len(lines) == 4003
+    keys = [({"chr2": 0, "chr1": 1}[x[0]], int(x[1])) for x in lines[3:]]
+    assert keys == sorted(keys)
