@@ -1,7 +1,7 @@
 """Quality by importance resampling.
 
 Two generative models count hashed n-grams: one in the raw corpus (all
-documents), one in target documents (a bounded sample of rows labelled good).
+documents), one in target documents (all rows labelled good).
 A document's log importance weight is the sum of its n-grams' log ratios,
 divided by the root of their number (sums of long texts would drown the rest).
 Gumbel noise on the log weights turns the k largest into a sample drawn
@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 
 from locusframe.llm.common import body, small_batches, stored
 from locusframe.llm.grams import chunks, hashed, joined, mixed
+from locusframe.operators.scan import prefix_scan
+from locusframe.session import broadcast_checked
 
 ORDERS, BITS = (4,), 17
 SIZE = len(ORDERS) * (1 << BITS) + 2
-#: Labelled rows used for the target model, and of each kind for the threshold.
-TARGET_ROWS, LABEL_ROWS = 20_000, 10_000
 #: Share of the rows labelled good that the threshold may cost.
 GOOD_LOSS = 0.005
 #: Log weights are this many times the standardised sums; more leaves less to the noise.
@@ -95,14 +95,13 @@ def log_weights(texts: list[bytes], ratio: np.ndarray) -> np.ndarray:
     return SHARPNESS * out / np.sqrt(np.maximum(n, 1))
 
 
-def _pick(labels: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` labelled ids, chosen by a hash of the id."""
-    return labels.select("doc_id").dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def _labelled(labels: DataFrame, quality: int) -> DataFrame:
+    return labels.filter(F.col("quality") == quality).select("doc_id").dropna().distinct()
 
 
-def fit_ratio(docs: DataFrame, good: DataFrame, target_rows: int = TARGET_ROWS) -> np.ndarray:
+def fit_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Log ratio per n-gram bucket of target and raw probabilities."""
-    target = F.broadcast(_pick(good, target_rows).withColumn("target", F.lit(True)))  # at most target_rows ids
+    target = broadcast_checked(_labelled(labels, 1).withColumn("target", F.lit(True)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         raw, tgt = np.zeros(SIZE, np.int64), np.zeros(SIZE, np.int64)
@@ -147,19 +146,24 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     return out.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u)))
 
 
-def fit_threshold(weighed: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS, loss: float = GOOD_LOSS) -> float:
-    """The weight that separates labelled rows best among those that cost at
-    most ``loss`` of the good ones."""
-    kinds = [F.broadcast(_pick(labels.filter(F.col("quality") == q), rows)) for q in (0, 1)]  # rows ids each
-    bad, good = (weighed.join(k, "doc_id", "left_semi").select("log_weight").toPandas()["log_weight"].to_numpy()
-                 for k in kinds)
-    if not len(good) or not len(bad):
+def fit_threshold(weighed: DataFrame, labels: DataFrame, loss: float = GOOD_LOSS) -> float:
+    """The weight that separates all labelled rows best among those that cost
+    at most ``loss`` of the good ones: between two neighbouring weights, or
+    the smallest. Spark adds up what lies below each weight."""
+    kinds = [weighed.join(broadcast_checked(_labelled(labels, q)), "doc_id", "left_semi")
+             .select("log_weight", F.lit(1 - q).alias("bad"), F.lit(q).alias("good")) for q in (0, 1)]
+    seen = stored(kinds[0].unionByName(kinds[1]).groupBy("log_weight").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+                  .withColumn("slice", F.floor(F.col("log_weight") * 8)), "labelled-weights")
+    total = seen.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+    if not total["bad"] or not total["good"]:
         return float("-inf")
-    seen = np.unique(np.concatenate([bad, good]))
-    tries = np.concatenate([seen[:1], (seen[1:] + seen[:-1]) / 2])  # between neighbouring weights
-    lost = np.searchsorted(np.sort(good), tries, "left") / len(good)
-    caught = np.searchsorted(np.sort(bad), tries, "left") / len(bad)
-    return float(tries[np.argmax(np.where(lost <= loss, caught - lost, -1))])
+    below = prefix_scan(seen, [], ["slice"], ["log_weight"], F.col("bad"), inclusive=False, out="caught")
+    below = prefix_scan(below, [], ["slice"], ["log_weight"], F.col("good"), inclusive=False, out="lost")
+    lost = F.col("lost") / total["good"]
+    best = (below.filter(lost <= loss).orderBy((F.col("caught") / total["bad"] - lost).desc(), "log_weight")
+            .select("log_weight").first()["log_weight"])
+    last = seen.filter(F.col("log_weight") < best).agg(F.max("log_weight")).first()[0]
+    return float(best if last is None else (best + last) / 2)
 
 
 def _ordered(c) -> Column:
@@ -186,7 +190,7 @@ def kth_largest(rows: DataFrame, col: str, k: int) -> int:
 def select(docs: DataFrame, labels: DataFrame, keyed: bool = False) -> DataFrame:
     """doc_id, log_weight, gumbel_key, selected: the Gumbel top-k; with
     ``keyed`` also ``key``, the sha256 of the text."""
-    ratio = fit_ratio(docs, labels.filter(F.col("quality") == 1))
+    ratio = fit_ratio(docs, labels)
     rows = stored(weigh(docs, ratio), "weights")
     bar = fit_threshold(rows, labels)
     k = rows.filter(F.col("log_weight") >= bar).count()
