@@ -12,6 +12,7 @@ hash-partition it; a pair of intervals is kept only in the bin holding
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,15 @@ def explode_bins(iv: DataFrame, start: str = "start", end: str = "end", width: i
     return iv.withColumn(out, F.explode(_bins(start, end, width)))
 
 
+def fitted_width(frames: list[DataFrame], start: str, end: str, most: int) -> int:
+    """The mean length of the intervals of all frames, at most ``most``. Bins
+    of this width hold no more than about two rows an interval, whatever the mix
+    of lengths, and about as many pairs that do not overlap as pairs that do."""
+    spans = [df.select(F.greatest(F.col(end) - F.col(start), F.lit(1)).alias("n")) for df in frames]
+    mean = reduce(DataFrame.unionByName, spans).agg(F.avg("n")).first()[0]
+    return max(1, min(most, math.ceil(mean or 1)))
+
+
 def points_in_intervals(points: DataFrame, intervals: DataFrame, pos: str = "pos",
                         contig: str = "contig", start: str = "start", end: str = "end",
                         width: int = DEFAULT_BIN, how: str = "inner") -> DataFrame:
@@ -52,8 +62,11 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, pos: str = "pos
 def overlap_pairs(a: DataFrame, b: DataFrame, width: int = DEFAULT_BIN, contig: str = "contig",
                   start: str = "start", end: str = "end", suffixes=("_a", "_b")) -> DataFrame:
     """All overlapping pairs (a, b) on the same contig, each pair once.
-    Columns of each side get the given suffixes."""
+    Columns of each side get the given suffixes. ``width`` is the widest bin:
+    where the intervals are shorter, so are the bins, or nearly all pairs of a bin
+    would be compared for nothing."""
     sa, sb = suffixes
+    width = fitted_width([a] if a is b else [a, b], start, end, width)
     ra = explode_bins(a, start, end, width).select(
         *[F.col(c).alias(c + sa) for c in a.columns], F.col("_bin"))
     rb = explode_bins(b, start, end, width).select(
