@@ -136,21 +136,81 @@ def equal_span_regions(islands: DataFrame, contig_rank: DataFrame, max_span: int
     return pieces.groupBy("region", contig).agg(F.min("p_start").alias(start), F.max("p_end").alias(end))
 
 
+def _nearest_by_bins(points: DataFrame, features: DataFrame, reach: int, width: int) -> DataFrame:
+    """Every point with every feature in reach -> (_k, distance, _f)."""
+    grown = features.withColumns({"_gs": F.greatest(F.col("_s") - reach, F.lit(0)), "_ge": F.col("_e") + reach})
+    j = points_in_intervals(points, grown, "_p", "_c", "_gs", "_ge", width)
+    dist = F.greatest(F.col("_s") - F.col("_p"), F.col("_p") - (F.col("_e") - 1), F.lit(0))
+    return j.select("_k", dist.alias("distance"), "_f").where(F.col("distance") <= reach)
+
+
+def _nearest_beside(points: DataFrame, features: DataFrame, reach: int, width: int) -> DataFrame:
+    """Every point with the last end at or before it and with the first start
+    after it, as far as in reach, each with its smallest name -> (_k, distance, _f).
+    Ends are one row a position, kept in the buckets of the points that they
+    reach (one or two), likewise starts."""
+    wide = max(width, reach, 1)
+
+    def edges(at: str, last: int) -> DataFrame:
+        near = F.array_distinct(F.array(F.floor(F.col(at) / wide), F.floor((F.col(at) + last) / wide)))
+        one = features.groupBy(at, "_c").agg(F.min(F.struct("_f")).alias("_n"))
+        return one.select("_c", F.explode(near).alias("_bk"), F.col(at).alias("_x"), F.lit(0).alias("_t"),
+                          F.struct(F.col(at), F.col("_n")).alias("_v" + at))
+
+    marks = points.select("_c", F.floor(F.col("_p") / wide).alias("_bk"), F.col("_p").alias("_x"), F.lit(1).alias("_t"), "_k")
+    rows = (edges("_e", reach).unionByName(edges("_s", -reach), allowMissingColumns=True)
+            .unionByName(marks, allowMissingColumns=True))
+    # at one position the edges come before the points, read backwards after them
+    within = Window.partitionBy("_bk", "_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = rows.withColumns({"_l": F.last("_v_e", True).over(within.orderBy("_x", "_t")),
+                             "_r": F.last("_v_s", True).over(within.orderBy(F.desc("_x"), F.desc("_t")))}).where("_t = 1")
+    left = F.struct((F.col("_x") - (F.col("_l._e") - 1)).alias("distance"), F.col("_l._n._f").alias("_f"))
+    right = F.struct((F.col("_r._s") - F.col("_x")).alias("distance"), F.col("_r._n._f").alias("_f"))
+    return seen.select("_k", F.inline(F.array(left, right))).where(F.col("distance") <= reach)
+
+
+def _nearest_inside(points: DataFrame, features: DataFrame, levels: int) -> DataFrame:
+    """Every point in a feature with the smallest name of those that hold it, at
+    distance 0 -> (_k, distance, _f). A feature is cut into blocks of lengths
+    2^k at multiples of 2^k (at most two a level), a block keeps the smallest
+    name, and a point asks its block of each level; no pairs of point and feature are made."""
+    s, e = F.col("_s").cast("long"), F.col("_e").cast("long")
+
+    def ident(block, k: int):
+        return F.shiftleft(block, 6).bitwiseOR(F.lit(k).cast("long"))
+
+    cut = []
+    for k in range(levels):
+        lo, hi = -F.shiftright(-s, k), F.shiftright(e, k)
+        cut += [F.when((lo < hi) & (lo.bitwiseAND(1) == 1), ident(lo, k)),
+                F.when((lo < hi) & (hi.bitwiseAND(1) == 1), ident(hi - 1, k))]
+    blocks = (features.select("_c", "_f", F.explode(F.array_compact(F.array(*cut))).alias("_b"))
+              .groupBy("_b", "_c").agg(F.min(F.struct("_f")).alias("_n")))
+    asked = points.select("_k", "_c", F.explode(F.array(*[ident(F.shiftright(F.col("_p").cast("long"), k), k)
+                                                          for k in range(levels)])).alias("_b"))
+    # the planner takes the points for what they were before they were sent once a level
+    return asked.hint("merge").join(blocks, ["_b", "_c"]).select("_k", F.lit(0).alias("distance"), F.col("_n._f").alias("_f"))
+
+
 def nearest_feature(points: DataFrame, features: DataFrame, max_distance: int,
                     pos: str = "pos", contig: str = "contig", start: str = "start", end: str = "end",
                     name: str = "name", key: str = "vid", width: int = DEFAULT_BIN) -> DataFrame:
     """For each point, the feature with the smallest distance
     ``max(start - pos, pos - (end - 1), 0)`` within ``max_distance`` (ties by
-    name).  Points without a feature in range are not returned."""
-    grown = features.select(F.col(contig), F.col(name).alias("_f"), F.col(start).alias("_fs"),
-                            F.col(end).alias("_fe"),
-                            F.greatest(F.col(start) - max_distance, F.lit(0)).alias("_gs"),
-                            (F.col(end) + max_distance).alias("_ge"))
-    j = points_in_intervals(points.select(key, contig, pos), grown, pos, contig, "_gs", "_ge", width)
-    dist = F.greatest(F.col("_fs") - F.col(pos), F.col(pos) - (F.col("_fe") - 1), F.lit(0))
-    j = j.withColumn("distance", dist).where(F.col("distance") <= max_distance)
-    best = j.groupBy(key).agg(F.min(F.struct("distance", "_f")).alias("_b"))
-    return best.select(key, F.col("_b._f").alias("feature"), F.col("_b.distance").alias("distance"))
+    name).  Points without a feature in range are not returned.  The work grows
+    with points and features, not with the features in reach of a point."""
+    p = points.select(F.col(key).alias("_k"), F.col(contig).alias("_c"), F.col(pos).alias("_p")).where("_c IS NOT NULL AND _p >= 0")
+    # a feature without a start begins at 0
+    f = features.select(F.col(contig).alias("_c"), F.col(name).alias("_f"), F.coalesce(F.col(start), F.lit(0)).alias("_s"),
+                        F.col(end).alias("_e")).where("_c IS NOT NULL AND _e IS NOT NULL")
+    size = f.agg(F.max(F.col("_e") - F.col("_s")).alias("longest"), F.min(F.col("_e") - F.col("_s")).alias("least")).first()
+    found = _nearest_beside(p, f.where("_e >= _s"), max_distance, width)
+    if (size["longest"] or 0) > 0:
+        found = found.unionByName(_nearest_inside(p, f.where("_e > _s"), int(size["longest"]).bit_length()))
+    if (size["least"] or 0) < 0:  # ends before its start: near both ways at once
+        found = found.unionByName(_nearest_by_bins(p, f.where("_e < _s"), max_distance, width))
+    best = found.groupBy("_k").agg(F.min(F.struct("distance", "_f")).alias("_b"))
+    return best.select(F.col("_k").alias(key), F.col("_b._f").alias("feature"), F.col("_b.distance").alias("distance"))
 
 
 def interval_remap(iv: DataFrame, blocks: DataFrame, contig: str = "contig", start: str = "start",
