@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusframe.operators.levels import overlap_pairs_by_level
+from locusframe.operators.levels import fitted_top, overlap_pairs_by_level
 
 BLOCK = ("chain", "src", "block_start", "block_end", "dst", "dst_start", "strand")
 
@@ -37,10 +37,10 @@ def remap_chains(iv: DataFrame, blocks: DataFrame, min_share: float = 0.95, cont
     without one they count as ``+``. Empty intervals are ``deleted``."""
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be above 0 and at most 1")
-    one = iv.select(F.col(contig).alias("contig"), F.col(start).cast("long").alias("start"), F.col(end).cast("long").alias("end")).distinct()
+    spans = iv.select(F.col(contig).alias("contig"), F.col(start).cast("long").alias("start"), F.col(end).cast("long").alias("end"))
     b = blocks.select(F.col("src").alias("contig"), F.col("block_start").cast("long").alias("start"),
                       F.col("block_end").cast("long").alias("end"), "chain", "dst", F.col("dst_start").cast("long").alias("dst_start"), "strand")
-    hit = overlap_pairs_by_level(one, b)
+    hit = overlap_pairs_by_level(spans.distinct(), b, fitted=fitted_top([spans, b]))
     lo, hi = F.greatest("start_a", "start_b"), F.least("end_a", "end_b")
     ahead = F.col("strand_b") == "+"
     first = F.when(ahead, F.col("dst_start_b") + lo - F.col("start_b")).otherwise(F.col("dst_start_b") + F.col("end_b") - hi)

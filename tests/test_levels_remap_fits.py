@@ -133,3 +133,49 @@ def test_points_by_level_broadcasts_no_exploded_points(spark):
         got = LV.points_by_level(points, iv, how=how)
         assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
         assert got.count() == 50
+
+
+@pytest.mark.parametrize("top", range(LV.LEVELS))
+def test_pairs_are_the_same_with_every_top_level(spark, top):
+    odd = [(None, 0, 9, "n"), ("chr1", None, 9, "s"), ("chr1", 0, None, "e"), ("chr1", 40, 20, "turned"), ("chr1", -20000, 5, "below")]
+    a, b = [x for x in spans(3, 80) if x[2] < 10**9] + odd, [x for x in spans(4, 80) if x[2] < 10**9] + odd * 2
+    da, db = spark.createDataFrame(a, IV), spark.createDataFrame(b, IV)
+    want = Counter((*x, *y) for x in a for y in b if None not in (*x, *y) and meets(x, y))
+    for many in (1, 10**9):  # rows said to be few, and too many to broadcast
+        got = LV.overlap_pairs_by_level(da, db, fitted=(top, [many, many]))
+        assert Counter(tuple(r) for r in got.collect()) == want
+
+
+def _laid_out(df):
+    """Rows that the run plan laid into bins."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        n = todo.pop()
+        if "AdaptiveSparkPlan" in n.nodeName():
+            todo.append(n.executedPlan())
+        elif "QueryStage" in n.nodeName():
+            todo.append(n.plan())
+        else:
+            if n.nodeName() == "Generate":
+                rows += n.metrics().get("numOutputRows").get().value()
+            todo += [n.children().apply(i) for i in range(n.children().size())]
+    return rows
+
+
+def test_overlap_pairs_send_short_intervals_once(spark):
+    a = spark.range(20).selectExpr("'chr1' AS contig", "id * 200000 AS start", "id * 200000 + 100000 AS end", "'long' AS kind")
+    b = spark.range(4000).selectExpr("'chr1' AS contig", "id * 1000 AS start", "id * 1000 + 20 AS end", "'short' AS kind")
+    pairs = LV.overlap_pairs_by_level(a, b)
+    assert pairs.count() == 2000
+    assert _laid_out(pairs) < 6000  # once a level: 24,000
+
+
+def test_fitted_top_counts_rows(spark):
+    wide = spark.range(1000).selectExpr("'chr1' AS contig", "id * 1000 AS start", "id * 1000 + 100000000 AS end")
+    point = spark.range(1000).selectExpr("'chr1' AS contig", "id * 1000 AS start", "id * 1000 + 1 AS end")
+    assert LV.fitted_top([wide.limit(1), point]) == (1, [763, 2000])  # wide: 6,104 rows at level 0
+    assert LV.fitted_top([wide, point])[0] == 4  # bins of 67,108,864 bases
+    assert LV.fitted_top([point, point]) == (0, [1000, 1000])
+    assert LV.fitted_top([point.limit(0), point.limit(0)]) == (0, [0, 0])
+    assert LV.fitted_top([point.limit(5), point.limit(5).selectExpr("contig", "start", "start + 2000000000 AS end")])[0] > 0
