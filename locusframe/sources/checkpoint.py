@@ -122,12 +122,20 @@ class StageStore:
         return key, {t: self.spark.read.schema(StructType.fromJson(s)).parquet(f"{folder}/{t}") for t, s in schemas.items()}
 
     def model(self, name: str, settings: dict, inputs: list[str], compute):
-        """The stage's key and fitted pipeline, trained only if it is not stored."""
+        """The stage's key and fitted forest, trained only if it is not stored."""
         from pyspark.ml import PipelineModel
+
+        from locusframe.operators.task_forest import TaskForest
         key = self.key(name, settings, inputs)
         folder = self._folder(name, key)
-        if self._read_mark(folder) is None:
+        mark = self._read_mark(folder)
+        if mark is None:
             self.computed.append(name)
-            compute().write().overwrite().save(f"{folder}/model")
-            self._mark(folder, "model")
-        return key, PipelineModel.load(f"{folder}/model")
+            made = compute()
+            if isinstance(made, TaskForest):
+                made.save(f"{folder}/model")
+            else:
+                made.write().overwrite().save(f"{folder}/model")
+            mark = "forest" if isinstance(made, TaskForest) else "model"
+            self._mark(folder, mark)
+        return key, TaskForest.load(self.spark, f"{folder}/model") if mark == "forest" else PipelineModel.load(f"{folder}/model")
