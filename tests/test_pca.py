@@ -59,3 +59,21 @@ def test_no_variant_passes_the_filters(spark):
     assert loadings.collect() == [] and eig == [0.0] * 3
     two = PL.ancestry_round_two(spark, calls, sites, samples.selectExpr("sid", "population AS ancestry", "'r' AS cohort"), ["x", "y"], k=2, af_min=0.4)
     assert two.where("PC1 = 0 AND PC2 = 0").count() == 12
+
+
+def test_scores_leave_the_driver_in_blocks(spark, monkeypatch):
+    """One row a block of samples, not one Python tuple a sample."""
+    from pyspark.sql import SparkSession
+    m, sent, make = np.random.default_rng(2).normal(size=(1200, 3)), [], SparkSession.createDataFrame
+
+    def seen(self, data, *a, **kw):
+        sent.append(len(data))
+        return make(self, data, *a, **kw)
+
+    monkeypatch.setattr(SparkSession, "createDataFrame", seen)
+    sidx = spark.range(1200).selectExpr("id * 2 AS sid", "CAST(id AS INT) AS sidx")
+    df = PCA.scores_frame(spark, PCA.Scores(m), sidx, 3)
+    assert sent == [3] and df.columns == ["PC1", "PC2", "PC3", "sid"]
+    assert [tuple(r) for r in df.orderBy("sid").collect()] == [(*x, 2 * i) for i, x in enumerate(m.tolist())]
+    assert PCA.Scores(m)[1199] == (1199, m[1199].tolist()) and len(list(PCA.Scores(m))) == 1200
+    assert PCA.scores_frame(spark, PCA.Scores(np.zeros((0, 0))), sidx, 3).count() == 0
